@@ -1,0 +1,127 @@
+"""The two action tables derived from the generic ``events`` test table.
+
+Every event becomes exactly one feed or messenger action; none is dropped. The
+users' 30 days of events are moved in time, by rules on their id, so that they
+arrive, pause and leave at different dates, and their attributes are made up
+from their id, with some that change or are missing.
+"""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+LAST_DAY = date(2024, 1, 30)
+CHANGE_DAY = date(2024, 1, 20)
+AS_OF = date(2024, 1, 31)
+AS_OF_TS = datetime(2024, 1, 30, 18, 7)
+AA_WEEK = (date(2024, 1, 15), date(2024, 1, 21))
+AB_WEEK = (date(2024, 1, 22), date(2024, 1, 28))
+CAMPAIGN = date(2024, 1, 1)
+
+
+def _days_back() -> Column:
+    """How many days before the last day an event is moved to.
+
+    Most users keep their 30 days; some squeeze them into 10 or 5, others
+    stretch them over 270. A third of the users leave up to 27 days early.
+    """
+    back = F.datediff(F.lit(LAST_DAY), F.to_date("ts"))
+    user = F.col("user_id")
+    span = F.when(user % 5 == 2, 10).when(user % 5 == 3, 5).when(user % 5 == 4, 270).otherwise(30)
+    left_early = F.when(user % 3 == 2, (user * 11) % 28).otherwise(0)
+    return (left_early + F.floor(back * span / 30)).cast("int")
+
+
+def actions(events: DataFrame) -> DataFrame:
+    """All events with their moved time, their service and the user's attributes."""
+    user, event = F.col("user_id"), F.col("event_id")
+    back = F.datediff(F.lit(LAST_DAY), F.to_date("ts"))
+    moved = events.withColumn(
+        "time", F.col("ts").cast("timestamp") + F.make_dt_interval(back - _days_back())
+    )
+    changed = F.to_date("time") >= F.lit(CHANGE_DAY)
+    service = (
+        F.when(user % 10 == 9, "message")
+        .when(user % 10 == 4, "feed")
+        .when(F.col("event_type").isin("purchase", "error"), "message")
+        .otherwise("feed")
+    )
+    os = (
+        F.when(user % 31 == 7, F.lit(None))
+        .when((user % 11 == 0) & changed, "Web")
+        .when(user % 3 == 0, "iOS")
+        .otherwise("Android")
+    )
+    ads = (F.floor(user / 3) % 5 < 2) != ((user % 13 == 4) & (event % 2 == 0))
+    moved_group = F.when((user % 29 == 3) & changed, 1).otherwise(0)
+    country = F.concat(F.lit("country-"), (user % 25).cast("string"))
+    return moved.select(
+        "event_id",
+        "event_type",
+        "props",
+        "user_id",
+        "time",
+        service.alias("service"),
+        (user % 2).cast("int").alias("gender"),
+        F.when(user % 37 != 11, 14 + (user * 7) % 50).cast("int").alias("age"),
+        country.alias("country"),
+        F.concat(country, F.lit("-"), (user % 3).cast("string")).alias("city"),
+        os.alias("os"),
+        F.when(ads, "ads").otherwise("organic").alias("source"),
+        ((F.floor(user * 13 / 7) + moved_group) % 5).cast("int").alias("exp_group"),
+    )
+
+
+USER_COLUMNS = ["gender", "age", "country", "city", "os", "source", "exp_group"]
+
+
+def feed_from_events(events: DataFrame) -> DataFrame:
+    """``feed_actions``: clicks, and everything done by a few users, are likes; the rest views."""
+    like = (F.col("event_type") == "click") | (F.col("user_id") % 17 == 5)
+    return (
+        actions(events)
+        .where(F.col("service") == "feed")
+        .select(
+            "user_id",
+            F.col("event_id").alias("post_id"),
+            F.when(like, "like").otherwise("view").alias("action"),
+            "time",
+            *USER_COLUMNS,
+        )
+    )
+
+
+def messages_from_events(events: DataFrame) -> DataFrame:
+    """``message_actions``: the receiver is a neighbour of the sender, found in ``props``."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return (
+        actions(events)
+        .where(F.col("service") == "message")
+        .select(
+            "user_id",
+            F.abs(F.col("user_id") + k - 50).alias("receiver_id"),
+            "time",
+            *USER_COLUMNS,
+        )
+    )
+
+
+def read_events(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/events.parquet")
+
+
+def stream_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events file as a stream."""
+    schema = read_events(spark, folder).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+
+
+def feed_actions(spark: SparkSession, folder: str) -> DataFrame:
+    return feed_from_events(read_events(spark, folder))
+
+
+def message_actions(spark: SparkSession, folder: str) -> DataFrame:
+    return messages_from_events(read_events(spark, folder))
