@@ -96,8 +96,8 @@ def ab_users(feed: DataFrame, *groups: int) -> DataFrame:
     return experiments.user_ctr(feed, *AB_WEEK, groups)
 
 
-def resampled(feed: DataFrame, a: int, b: int) -> DataFrame:
-    return experiments.aa_resample(aa_users(feed, a, b), a, b, SAMPLE_SIZE, ITERATIONS, SEED)
+def resampled(feed: DataFrame, a: int, b: int, n: int = SAMPLE_SIZE) -> DataFrame:
+    return experiments.aa_resample(aa_users(feed, a, b), a, b, n, ITERATIONS, SEED)
 
 
 def bootstrapped(feed: DataFrame, a: int, b: int) -> DataFrame:
@@ -187,8 +187,8 @@ def queries() -> dict[str, Query]:
             lambda f: experiments.welch_ttest(ab_users(f, 1, 2), "exp_group", "ctr", 1, 2)
         ),
         "aa_resample": on_feed(lambda f: resampled(f, 2, 3)),
-        "aa_resample_1_2": on_feed(lambda f: resampled(f, 1, 2)),
-        "aa_resample_0_3": on_feed(lambda f: resampled(f, 0, 3)),
+        "aa_resample_1_2": on_feed(lambda f: resampled(f, 1, 2, 8)),
+        "aa_resample_0_3": on_feed(lambda f: resampled(f, 0, 3, 5)),
         "aa_pass_rate": on_feed(lambda f: experiments.aa_pass_rate(resampled(f, 2, 3))),
         "metric_histogram": on_feed(
             lambda f: experiments.metric_histogram(ab_users(f, 1, 2), "ctr", BINS, "exp_group")

@@ -43,15 +43,26 @@ def poisson1(u: Column) -> Column:
 def sample_indices(size: Column, n: int, *key: Column) -> Column:
     """Array of exactly n different indices out of 0..size-1, every subset equally likely.
 
-    Step j (size-n .. size-1) draws from 0..j and falls back to j itself when the
-    drawn index was taken before, so no candidate is ever thrown away.
+    Up to half of the group, indices are drawn with replacement and the first n
+    different ones kept. 2n+50 draws hold n different values with a probability
+    above 1 - 2^-50; should they not, or when more than half is wanted, all
+    indices are put in the order of a draw each and the first n taken. The work
+    per sample is thus proportional to n, not to the size of the group.
     """
-
-    def step(chosen: Column, j: Column) -> Column:
-        drawn = F.floor(uniform(*key, j) * (j + 1))
-        return F.array_append(chosen, F.when(F.array_contains(chosen, drawn), j).otherwise(drawn))
-
-    start = F.array().cast("array<bigint>")
-    indices = F.aggregate(F.sequence(size - n, size - 1), start, step)
+    drawn = F.transform(
+        F.sequence(F.lit(0), F.lit(2 * n + 49)), lambda j: F.floor(uniform(*key, j) * size)
+    )
+    different = F.array_distinct(drawn)
+    ordered = F.sort_array(
+        F.transform(
+            F.sequence(F.lit(0).cast("long"), size - 1),
+            lambda i: F.struct(uniform(*key, i).alias("u"), i.alias("i")),
+        )
+    )
+    by_order = F.transform(F.slice(ordered, 1, n), lambda pair: pair["i"])
     short = F.concat(F.lit(f"sample of {n} asked from a group of "), size.cast("string"))
-    return F.when(size >= n, indices).otherwise(F.raise_error(short).cast("array<bigint>"))
+    return (
+        F.when(size < n, F.raise_error(short).cast("array<bigint>"))
+        .when((size >= 2 * n) & (F.size(different) >= n), F.slice(different, 1, n))
+        .otherwise(by_order)
+    )

@@ -28,8 +28,8 @@ def total(column: str) -> Column:
 
 
 def ratio(a: Column, b: Column) -> Column:
-    """a / b, NULL where b is 0."""
-    return a / F.nullif(b, F.lit(0))
+    """a / b as DOUBLE, NULL where b is 0."""
+    return F.try_divide(a, b)
 
 
 def ctr_percent() -> Column:

@@ -1,8 +1,9 @@
-"""Student's t distribution as column expressions."""
+"""Welch's test statistic and Student's t distribution as column expressions."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 
 from feedpulse.functions.measures import ratio
 
-NODES = 48
+NODES = 32
 TAIL = 9.0  # the density beyond 9 standard deviations is below 1e-17
 
 
 def _nodes() -> list[tuple[float, float]]:
-    """Gauss-Legendre nodes on [0, 1] under x -> 1-(1-x)^2.
+    """Gauss-Legendre nodes and weights on [0, 1] under x -> 1-(1-x)^2.
 
     The square keeps full accuracy for 1 < dof < 2, where the integrand has an
     unbounded derivative at the upper end.
@@ -25,6 +26,15 @@ def _nodes() -> list[tuple[float, float]]:
     return [(float(1 - (1 - a) ** 2), float(2 * (1 - a) * b)) for a, b in zip(x, w)]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body refers to it.
+
+    The optimizer replaces column references by their definitions when it moves
+    filters; a lambda variable keeps the large expression below from multiplying.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def two_sided_p(t: Column, dof: Column) -> Column:
     """P(|T| >= |t|) for T with ``dof`` >= 1 degrees of freedom.
 
@@ -33,18 +43,30 @@ def two_sided_p(t: Column, dof: Column) -> Column:
     normalising constant is not needed.
     """
     nodes = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(w).alias("w")) for x, w in _nodes()])
-    root = F.sqrt(dof)
-    top = F.least(F.lit(math.pi / 2), F.lit(TAIL) / root)
-    theta = F.least(F.atan(F.abs(t) / root), top)
 
-    def area_from(low: Column) -> Column:
+    def area(low: Column, top: Column, power: Column) -> Column:
         def add(acc: Column, node: Column) -> Column:
-            height = F.pow(F.greatest(F.cos(low + (top - low) * node["x"]), F.lit(0.0)), dof - 1)
-            return acc + node["w"] * height
+            height = F.greatest(F.cos(low + (top - low) * node["x"]), F.lit(0.0))
+            return acc + node["w"] * F.pow(height, power)
 
         return (top - low) * F.aggregate(nodes, F.lit(0.0), add)
 
-    return area_from(theta) / area_from(F.lit(0.0))
+    def tail(s: Column) -> Column:
+        low = F.least(F.atan(s["slope"]), s["top"])
+        return _let(low, lambda theta: area(theta, s["top"], s["power"])) / area(
+            F.lit(0.0), s["top"], s["power"]
+        )
+
+    def angles(s: Column) -> Column:
+        root = F.sqrt(s["dof"])
+        return F.struct(
+            (s["t"] / root).alias("slope"),
+            F.least(F.lit(math.pi / 2), F.lit(TAIL) / root).alias("top"),
+            (s["dof"] - 1).alias("power"),
+        )
+
+    arguments = F.struct(F.abs(t).alias("t"), dof.alias("dof"))
+    return _let(arguments, lambda s: _let(angles(s), tail))
 
 
 def welch(

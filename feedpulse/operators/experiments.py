@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedpulse.functions.dates import on_days
@@ -22,6 +22,11 @@ from feedpulse.functions.student import two_sided_p, welch
 NUMBERING_BUCKETS = 4_096
 
 
+def _slots(spark: SparkSession) -> int:
+    """Number of tasks for work whose size Spark cannot see from its input."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def user_ctr(
     feed: DataFrame, start: date, end: date, groups: Sequence[int] | None = None
 ) -> DataFrame:
@@ -85,8 +90,7 @@ def welch_ttest(
         ]
     grouped = df.groupBy(*by).agg(*moments)
     t, dof = welch(*[F.col(f"{m}_{side}") for side in "ab" for m in ("n", "mean", "var")])
-    tested = grouped.withColumns({"t_stat": t, "dof": dof})
-    return tested.select(
+    return grouped.withColumns({"t_stat": t, "dof": dof}).select(
         *by,
         F.lit(a).alias("group_a"),
         F.lit(b).alias("group_b"),
@@ -100,25 +104,36 @@ def welch_ttest(
     )
 
 
-def _numbered(uc: DataFrame) -> DataFrame:
+def _bucketed(uc: DataFrame) -> DataFrame:
+    bucket = F.pmod(draw_key(F.col("user_id")), F.lit(NUMBERING_BUCKETS)).alias("bucket")
+    return uc.select("exp_group", "user_id", "ctr", bucket)
+
+
+def _bucket_sizes(users: DataFrame) -> DataFrame:
+    """Users per group and bucket: ``NUMBERING_BUCKETS`` rows per group at most.
+
+    Counting users with and without a CTR separately reads the same columns as
+    the numbering does, so that Spark runs the per-user aggregation only once.
+    """
+    ctr = F.col("ctr")
+    size = F.count_if(ctr.isNull()) + F.count_if(ctr.isNotNull())
+    return users.groupBy("exp_group", "bucket").agg(size.alias("size"))
+
+
+def _numbered(users: DataFrame, sizes: DataFrame) -> DataFrame:
     """Number each group's users 0..N-1 without putting a group into one task.
 
-    Users are hashed into a fixed number of buckets and numbered within them; a
-    bucket starts where the smaller ones end. The table of starts has
-    ``NUMBERING_BUCKETS`` rows per group at most, which is what is broadcast.
+    Users are numbered within hash buckets; a bucket starts where the smaller
+    ones end. Only the small table of starts is broadcast.
     """
-    bucket = F.pmod(draw_key(F.col("user_id")), F.lit(NUMBERING_BUCKETS)).alias("bucket")
-    users = uc.select("exp_group", "user_id", "ctr", bucket)
-    sizes = users.groupBy("exp_group", "bucket").agg(F.count("*").alias("size"))
     smaller = (
         Window.partitionBy("exp_group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
     start = F.coalesce(F.sum("size").over(smaller), F.lit(0)).alias("start")
-    starts = sizes.select("exp_group", "bucket", start)
     within = Window.partitionBy("exp_group", "bucket").orderBy("user_id")
     return (
         users.withColumn("position", F.row_number().over(within) - 1)
-        .join(F.broadcast(starts), ["exp_group", "bucket"])
+        .join(F.broadcast(sizes.select("exp_group", "bucket", start)), ["exp_group", "bucket"])
         .select("exp_group", (F.col("start") + F.col("position")).alias("position"), "ctr")
     )
 
@@ -133,19 +148,20 @@ def aa_resample(
     joined to the numbered users. A group of fewer than n users is an error.
     """
     spark = uc.sparkSession
-    pair = uc.where(F.col("exp_group").isin(a, b))
-    # Two rows. The left side keeps a group without any user, whose size is then 0.
-    sizes = pair.groupBy("exp_group").agg(F.count("*").alias("size"))
-    groups = spark.range(0, iters, 1, _slots(spark)).select(
+    users = _bucketed(uc.where(F.col("exp_group").isin(a, b)))
+    bucket_sizes = _bucket_sizes(users)
+    # Two rows. A group without any user has none and is given the size 0 below.
+    sizes = bucket_sizes.groupBy("exp_group").agg(F.sum("size").alias("size"))
+    cells = spark.range(0, iters, 1, _slots(spark)).select(
         F.col("id").alias("iteration"),
         F.explode(F.array(F.lit(a), F.lit(b))).alias("exp_group"),
     )
     size = F.coalesce("size", F.lit(0).cast("long"))
     chosen = sample_indices(size, n, F.lit(seed), F.col("iteration"), F.col("exp_group"))
-    draws = groups.join(F.broadcast(sizes), "exp_group", "left").select(
+    draws = cells.join(F.broadcast(sizes), "exp_group", "left").select(
         "iteration", "exp_group", F.explode(chosen).alias("position")
     )
-    drawn = draws.join(_numbered(pair), ["exp_group", "position"])
+    drawn = draws.join(_numbered(users, bucket_sizes), ["exp_group", "position"])
     return welch_ttest(drawn, "exp_group", "ctr", a, b, by=["iteration"])
 
 
@@ -183,10 +199,6 @@ def metric_histogram(df: DataFrame, col: str, bins: int, by: str | None = None)
     )
 
 
-def _slots(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def poisson_bootstrap(
     uc: DataFrame, a: int, b: int, reps: int = 2_000, seed: int = 42
 ) -> DataFrame:

@@ -15,10 +15,13 @@ def local_session(cores: int | str = "*", app: str = "feedpulse", **conf: str) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", slots)
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording the calling line of every column expression takes longer than small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAST_DAY = date(2024, 1, 30)
@@ -22,56 +22,39 @@ AB_WEEK = (date(2024, 1, 22), date(2024, 1, 28))
 CAMPAIGN = date(2024, 1, 1)
 
 
-def _days_back() -> Column:
-    """How many days before the last day an event is moved to.
-
-    Most users keep their 30 days; some squeeze them into 10 or 5, others
-    stretch them over 270. A third of the users leave up to 27 days early.
-    """
-    back = F.datediff(F.lit(LAST_DAY), F.to_date("ts"))
-    user = F.col("user_id")
-    span = F.when(user % 5 == 2, 10).when(user % 5 == 3, 5).when(user % 5 == 4, 270).otherwise(30)
-    left_early = F.when(user % 3 == 2, (user * 11) % 28).otherwise(0)
-    return (left_early + F.floor(back * span / 30)).cast("int")
+# How many days before the last day an event is moved to. Most users keep their
+# 30 days; some squeeze them into 10 or 5, others stretch them over 270. A third
+# of the users leave up to 27 days early.
+BACK = f"datediff(DATE '{LAST_DAY}', to_date(ts))"
+SPAN = "CASE user_id % 5 WHEN 2 THEN 10 WHEN 3 THEN 5 WHEN 4 THEN 270 ELSE 30 END"
+LEFT_EARLY = "CASE WHEN user_id % 3 = 2 THEN (user_id * 11) % 28 ELSE 0 END"
+TIME = (
+    "CAST(ts AS TIMESTAMP)"
+    f" + make_dt_interval(CAST({BACK} - ({LEFT_EARLY} + ({BACK} * {SPAN}) div 30) AS INT))"
+)
+CHANGED = f"to_date(time) >= DATE '{CHANGE_DAY}'"
 
 
 def actions(events: DataFrame) -> DataFrame:
     """All events with their moved time, their service and the user's attributes."""
-    user, event = F.col("user_id"), F.col("event_id")
-    back = F.datediff(F.lit(LAST_DAY), F.to_date("ts"))
-    moved = events.withColumn(
-        "time", F.col("ts").cast("timestamp") + F.make_dt_interval(back - _days_back())
-    )
-    changed = F.to_date("time") >= F.lit(CHANGE_DAY)
-    service = (
-        F.when(user % 10 == 9, "message")
-        .when(user % 10 == 4, "feed")
-        .when(F.col("event_type").isin("purchase", "error"), "message")
-        .otherwise("feed")
-    )
-    os = (
-        F.when(user % 31 == 7, F.lit(None))
-        .when((user % 11 == 0) & changed, "Web")
-        .when(user % 3 == 0, "iOS")
-        .otherwise("Android")
-    )
-    ads = (F.floor(user / 3) % 5 < 2) != ((user % 13 == 4) & (event % 2 == 0))
-    moved_group = F.when((user % 29 == 3) & changed, 1).otherwise(0)
-    country = F.concat(F.lit("country-"), (user % 25).cast("string"))
-    return moved.select(
+    return events.withColumn("time", F.expr(TIME)).selectExpr(
         "event_id",
         "event_type",
         "props",
         "user_id",
         "time",
-        service.alias("service"),
-        (user % 2).cast("int").alias("gender"),
-        F.when(user % 37 != 11, 14 + (user * 7) % 50).cast("int").alias("age"),
-        country.alias("country"),
-        F.concat(country, F.lit("-"), (user % 3).cast("string")).alias("city"),
-        os.alias("os"),
-        F.when(ads, "ads").otherwise("organic").alias("source"),
-        ((F.floor(user * 13 / 7) + moved_group) % 5).cast("int").alias("exp_group"),
+        """CASE WHEN user_id % 10 = 9 THEN 'message' WHEN user_id % 10 = 4 THEN 'feed'
+             WHEN event_type IN ('purchase', 'error') THEN 'message' ELSE 'feed' END AS service""",
+        "CAST(user_id % 2 AS INT) AS gender",
+        "CASE WHEN user_id % 37 <> 11 THEN CAST(14 + (user_id * 7) % 50 AS INT) END AS age",
+        "concat('country-', user_id % 25) AS country",
+        "concat('country-', user_id % 25, '-', user_id % 3) AS city",
+        f"""CASE WHEN user_id % 31 = 7 THEN NULL WHEN user_id % 11 = 0 AND {CHANGED} THEN 'Web'
+             WHEN user_id % 3 = 0 THEN 'iOS' ELSE 'Android' END AS os""",
+        """CASE WHEN ((user_id div 3) % 5 < 2) <> (user_id % 13 = 4 AND event_id % 2 = 0)
+             THEN 'ads' ELSE 'organic' END AS source""",
+        f"""CAST(((user_id * 13) div 7 + CASE WHEN user_id % 29 = 3 AND {CHANGED} THEN 1 ELSE 0 END)
+             % 5 AS INT) AS exp_group""",
     )
 
 
@@ -80,32 +63,23 @@ USER_COLUMNS = ["gender", "age", "country", "city", "os", "source", "exp_group"]
 
 def feed_from_events(events: DataFrame) -> DataFrame:
     """``feed_actions``: clicks, and everything done by a few users, are likes; the rest views."""
-    like = (F.col("event_type") == "click") | (F.col("user_id") % 17 == 5)
+    action = "CASE WHEN event_type = 'click' OR user_id % 17 = 5 THEN 'like' ELSE 'view' END"
     return (
         actions(events)
-        .where(F.col("service") == "feed")
-        .select(
-            "user_id",
-            F.col("event_id").alias("post_id"),
-            F.when(like, "like").otherwise("view").alias("action"),
-            "time",
-            *USER_COLUMNS,
+        .where("service = 'feed'")
+        .selectExpr(
+            "user_id", "event_id AS post_id", f"{action} AS action", "time", *USER_COLUMNS
         )
     )
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
     """``message_actions``: the receiver is a neighbour of the sender, found in ``props``."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    receiver = "abs(user_id + CAST(get_json_object(props, '$.k') AS INT) - 50)"
     return (
         actions(events)
-        .where(F.col("service") == "message")
-        .select(
-            "user_id",
-            F.abs(F.col("user_id") + k - 50).alias("receiver_id"),
-            "time",
-            *USER_COLUMNS,
-        )
+        .where("service = 'message'")
+        .selectExpr("user_id", f"{receiver} AS receiver_id", "time", *USER_COLUMNS)
     )
 
 

@@ -86,8 +86,9 @@ def anomaly_alerts_stream(
     """
 
     def replace(rows: DataFrame, batch_id: int, path: str) -> None:
-        writer = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write
-        writer = writer.partitionBy("date", "batch_id").mode("overwrite")
+        # One file per date: a batch holds at most 96 buckets of each.
+        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).repartition("date")
+        writer = rows.write.partitionBy("date", "batch_id").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
     def check(batch: DataFrame, batch_id: int) -> None:
