@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -65,6 +66,13 @@ def activity_15min_to_table(
     return start(writer.format("parquet").option("path", path), checkpoint, processing_time)
 
 
+def _read_series(spark: SparkSession, path: str, first: date, last: date) -> DataFrame:
+    """The stored buckets of the days first..last; only those days' folders are listed."""
+    wanted = ",".join(str(first + days(i)) for i in range((last - first).days + 1))
+    reader = spark.read.schema(SERIES).option("basePath", path)
+    return reader.parquet(f"{path}/date={{{wanted}}}")
+
+
 def anomaly_alerts_stream(
     stream: DataFrame,
     series_path: str,
@@ -81,31 +89,29 @@ def anomaly_alerts_stream(
 
     Each micro-batch adds its buckets to the series under ``series_path``, reads
     back those since ``lookback_days`` before its first bucket, and judges its own.
-    Both tables are partitioned by date and batch and replaced by partition, so a
-    batch that is run again after a failure leaves one copy.
+    Both tables are partitioned by batch (the series by date first) and replaced by
+    partition, so a batch that is run again after a failure leaves one copy.
     """
 
-    def replace(rows: DataFrame, batch_id: int, path: str) -> None:
-        # One file per date: a batch holds at most 96 buckets of each.
-        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).repartition("date")
-        writer = rows.write.partitionBy("date", "batch_id").mode("overwrite")
+    def replace(rows: DataFrame, path: str, *partitions: str) -> None:
+        writer = rows.write.partitionBy(*partitions).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        replace(batch, batch_id, series_path)
-        stored = batch.sparkSession.read.schema(SERIES).parquet(series_path)
+        # A batch holds 96 buckets a day at most; it is read twice.
+        batch = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
         at = F.struct("date", "minutes")
-        first = stored.where(F.col("batch_id") == batch_id).agg(F.min(at).alias("at")).first()["at"]
-        if first is None:
-            return
-        known = stored.where(
-            (F.col("batch_id") <= batch_id)
-            & (F.col("date") >= F.lit(first["date"] - days(lookback_days)))
-        )
-        judged = anomaly_backtest(known, metrics, a, n).where(
-            at >= F.struct(F.lit(first["date"]), F.lit(first["minutes"]))
-        )
-        replace(judged.where("is_alert"), batch_id, alerts_path)
+        span = batch.agg(F.min(at).alias("first"), F.max("date").alias("last_date")).first()
+        if span["first"] is not None:
+            first = span["first"]
+            replace(batch.repartition("date"), series_path, "date", "batch_id")
+            since = first["date"] - days(lookback_days)
+            stored = _read_series(batch.sparkSession, series_path, since, span["last_date"])
+            judged = anomaly_backtest(stored.where(F.col("batch_id") <= batch_id), metrics, a, n)
+            own = judged.where(at >= F.struct(F.lit(first["date"]), F.lit(first["minutes"])))
+            alerts = own.where("is_alert").withColumn("batch_id", F.lit(batch_id).cast("long"))
+            replace(alerts, alerts_path, "batch_id")
+        batch.unpersist()
 
     writer = activity_15min_stream(stream, lateness).writeStream.outputMode("append")
     return start(writer.foreachBatch(check), checkpoint, processing_time)
