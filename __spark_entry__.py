@@ -81,9 +81,7 @@ def streamed_activity(spark: SparkSession, folder: str) -> DataFrame:
 def streamed_alerts(spark: SparkSession, folder: str) -> DataFrame:
     feed = sample.feed_from_events(sample.stream_events(spark, folder))
     base = scratch_path(spark, "alerts-stream")
-    query = activity.anomaly_alerts_stream(
-        feed, f"{base}/series", f"{base}/alerts", f"{base}/checkpoint"
-    )
+    query = activity.anomaly_alerts_stream(feed, base, f"{base}/checkpoint")
     query.awaitTermination()
     return rounded(spark.read.parquet(f"{base}/alerts").drop("batch_id"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -207,6 +207,3 @@ def context_rows(n: int = 6) -> int:
     """How many earlier buckets a decision depends on."""
     return n + n // 2
 
-
-def bucket_length() -> timedelta:
-    return timedelta(minutes=15)

@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from feedpulse.functions.dates import days
 from feedpulse.functions.measures import likes, total, views
-from feedpulse.operators.alerts import BUCKET, FEED_METRICS, anomaly_backtest, bucket_labels
+from feedpulse.operators.alerts import (
+    BUCKET,
+    FEED_METRICS,
+    anomaly_backtest,
+    bucket_labels,
+    context_rows,
+)
 from feedpulse.sources.readers import with_event_time
 
 LATENESS = "30 minutes"
 
 SERIES = T.StructType(
     [
+        T.StructField("date", T.DateType()),
         T.StructField("minutes", T.StringType()),
         *[T.StructField(name, T.LongType()) for name in FEED_METRICS],
-        T.StructField("date", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
     ]
 )
 
@@ -66,51 +69,47 @@ def activity_15min_to_table(
     return start(writer.format("parquet").option("path", path), checkpoint, processing_time)
 
 
-def _read_series(spark: SparkSession, path: str, first: date, last: date) -> DataFrame:
-    """The stored buckets of the days first..last; only those days' folders are listed."""
-    wanted = ",".join(str(first + days(i)) for i in range((last - first).days + 1))
-    reader = spark.read.schema(SERIES).option("basePath", path)
-    return reader.parquet(f"{path}/date={{{wanted}}}")
-
-
 def anomaly_alerts_stream(
     stream: DataFrame,
-    series_path: str,
-    alerts_path: str,
+    path: str,
     checkpoint: str,
     metrics: Sequence[str] = FEED_METRICS,
     a: float = 4,
     n: int = 6,
     processing_time: str | None = None,
     lateness: str = LATENESS,
-    lookback_days: int = 1,
 ) -> StreamingQuery:
-    """Check every bucket when it closes and store the anomalous ones under ``alerts_path``.
+    """Check every bucket when it closes and store the anomalous ones under ``path``/alerts.
 
-    Each micro-batch adds its buckets to the series under ``series_path``, reads
-    back those since ``lookback_days`` before its first bucket, and judges its own.
-    Both tables are partitioned by batch (the series by date first) and replaced by
-    partition, so a batch that is run again after a failure leaves one copy.
+    Each micro-batch k writes three small folders, each its own ``batch_id=k``:
+    its buckets (``series``), the alerts among them (``alerts``), and the latest
+    buckets a later decision may need (``recent``), which batch k+1 reads. A batch
+    that is run again after a failure reads the same input and replaces its own
+    folders, so nothing is stored twice, and no batch has to look through history.
     """
 
-    def replace(rows: DataFrame, path: str, *partitions: str) -> None:
-        writer = rows.write.partitionBy(*partitions).mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    def folder(table: str, batch_id: int) -> str:
+        return f"{path}/{table}/batch_id={batch_id}"
+
+    def store(rows: DataFrame, table: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(folder(table, batch_id))
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        # A batch holds 96 buckets a day at most; it is read twice.
-        batch = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+        # At most 96 rows for each day the batch covers; used several times.
+        batch = batch.persist()
+        known = batch
+        if batch_id > 0:
+            recent = batch.sparkSession.read.schema(SERIES).parquet(folder("recent", batch_id - 1))
+            known = batch.unionByName(recent)
         at = F.struct("date", "minutes")
-        span = batch.agg(F.min(at).alias("first"), F.max("date").alias("last_date")).first()
-        if span["first"] is not None:
-            first = span["first"]
-            replace(batch.repartition("date"), series_path, "date", "batch_id")
-            since = first["date"] - days(lookback_days)
-            stored = _read_series(batch.sparkSession, series_path, since, span["last_date"])
-            judged = anomaly_backtest(stored.where(F.col("batch_id") <= batch_id), metrics, a, n)
+        first = batch.agg(F.min(at).alias("at")).first()["at"]
+        if first is not None:
+            judged = anomaly_backtest(known, metrics, a, n)
             own = judged.where(at >= F.struct(F.lit(first["date"]), F.lit(first["minutes"])))
-            alerts = own.where("is_alert").withColumn("batch_id", F.lit(batch_id).cast("long"))
-            replace(alerts, alerts_path, "batch_id")
+            store(batch, "series", batch_id)
+            store(own.where("is_alert"), "alerts", batch_id)
+        latest = known.orderBy(F.desc("date"), F.desc("minutes")).limit(context_rows(n))
+        store(latest, "recent", batch_id)
         batch.unpersist()
 
     writer = activity_15min_stream(stream, lateness).writeStream.outputMode("append")
