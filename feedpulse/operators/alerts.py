@@ -55,15 +55,23 @@ def activity_series(
 
 
 def fill_gaps(series: DataFrame) -> DataFrame:
-    """Add the buckets without events, with zeros, between the first and the last one."""
+    """Add the buckets without events, with zeros, between the first and the last one.
+
+    Every bucket is repeated up to the next one in the series. The window has no
+    partition key; its rows are buckets.
+    """
     at = F.to_timestamp(F.concat_ws(" ", "date", "minutes"), "yyyy-MM-dd HH:mm")
-    span = series.select(at.alias("bucket")).agg(
-        F.min("bucket").alias("first"), F.max("bucket").alias("last")
-    )
     step = F.expr(f"INTERVAL {BUCKET}")
-    grid = span.select(F.explode(F.sequence("first", "last", step)).alias("bucket"))
-    filled = grid.select(*bucket_labels()).join(series, ["date", "minutes"], "left")
-    return filled.na.fill(0, list(FEED_METRICS))
+    following = F.lead("at").over(Window.orderBy("at"))
+    runs = series.withColumn("at", at).withColumn(
+        "until", F.coalesce(following - step, F.col("at"))
+    )
+    buckets = runs.withColumn("bucket", F.explode(F.sequence("at", "until", step)))
+    original = F.col("bucket") == F.col("at")
+    return buckets.select(
+        *bucket_labels(),
+        *[F.when(original, F.col(m)).otherwise(F.lit(0)).alias(m) for m in FEED_METRICS],
+    )
 
 
 def activity_15min(feed: DataFrame, as_of_ts: datetime, fill: bool = False) -> DataFrame:

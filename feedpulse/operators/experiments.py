@@ -212,20 +212,15 @@ def poisson_bootstrap(
     A user's weights are hashes of (seed, group, user, replicate). The weighted
     rows exist only inside the map side of the aggregation; what is shuffled is
     one partial sum per task, replicate and group. The users are spread over all
-    tasks before they are expanded, since the per-user table alone may be small
-    enough for Spark to merge it into a few.
+    tasks by their key before they are expanded, since the per-user table alone
+    may be small enough for Spark to merge it into a few partitions.
     """
-    users = uc.where(F.col("exp_group").isin(a, b)).repartition(
-        _slots(uc.sparkSession), "exp_group", "user_id"
-    )
-    key = draw_key(F.lit(seed), F.col("exp_group"), F.col("user_id"))
+    key = draw_key(F.lit(seed), F.col("exp_group"), F.col("user_id")).alias("key")
+    users = uc.where(F.col("exp_group").isin(a, b)).select("exp_group", "likes", "views", key)
+    spread = users.repartition(_slots(uc.sparkSession), "key")
     replicates = F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("replicate")
-    weighted = users.select("exp_group", "likes", "views", key.alias("key"), replicates).select(
-        "replicate",
-        "exp_group",
-        "likes",
-        "views",
-        poisson1(uniform(F.col("key"), F.col("replicate"))).alias("weight"),
+    weighted = spread.select("exp_group", "likes", "views", "key", replicates).withColumn(
+        "weight", poisson1(uniform(F.col("key"), F.col("replicate")))
     )
     sums = weighted.groupBy("replicate", "exp_group").agg(
         F.sum(F.col("weight") * F.col("likes")).alias("likes"),
@@ -256,11 +251,15 @@ def bootstrap_summary(boot: DataFrame, a: int, b: int) -> DataFrame:
 def linearized_likes(uc: DataFrame, control: int) -> DataFrame:
     """Add ``linearized_likes`` = likes - CTR of the control group * views.
 
-    The control CTR is a single value, attached as a scalar subquery.
+    The control CTR is a single value, attached as a scalar subquery. It is taken
+    from all of ``uc`` with a condition, so that Spark sees the same per-user
+    aggregation on both sides and runs it once.
     """
-    pooled = uc.where(F.col("exp_group") == control).agg(
-        ratio(F.sum("likes"), F.sum("views")).alias("ctr")
-    )
+
+    def of_control(column: str) -> Column:
+        return F.sum(F.when(F.col("exp_group") == control, F.col(column)))
+
+    pooled = uc.agg(ratio(of_control("likes"), of_control("views")).alias("ctr"))
     value = F.col("likes") - F.col("control_ctr") * F.col("views")
     return (
         uc.withColumn("control_ctr", pooled.scalar())
