@@ -52,7 +52,8 @@ def two_sided_p(t: Column, dof: Column) -> Column:
         return (top - low) * F.aggregate(nodes, F.lit(0.0), add)
 
     def tail(s: Column) -> Column:
-        low = F.least(F.atan(s["slope"]), s["top"])
+        # least() skips NULLs, so a missing t is caught here.
+        low = F.when(s["slope"].isNotNull(), F.least(F.atan(s["slope"]), s["top"]))
         return _let(low, lambda theta: area(theta, s["top"], s["power"])) / area(
             F.lit(0.0), s["top"], s["power"]
         )
