@@ -97,23 +97,28 @@ def first_action_date(feed: DataFrame, hot_users: int = HOT_USERS, salts: int =
     First dates are aggregated per user and joined back to the events. Users that
     hold more than 1/``hot_users`` of all events get theirs from a broadcast of
     at most ``hot_users`` rows, and their events are spread over ``salts`` join
-    keys instead of meeting in one task.
+    keys instead of meeting in one task. Hot and other users come out of the same
+    aggregation, which Spark runs once.
     """
     events = feed.select("user_id", event_day().alias("action_time"), "source", "time")
     firsts = events.groupBy("user_id").agg(
         F.min("action_time").alias("first_action"), F.count("*").alias("events")
     )
-    all_events = firsts.agg(F.sum("events")).scalar()
+    all_events = feed.agg(F.count("*")).scalar()
     hot = firsts.where(F.col("events") * hot_users > all_events).select(
         "user_id", F.col("first_action").alias("hot_first")
     )
-    is_hot = F.col("hot_first").isNotNull()
-    spread = F.pmod(F.xxhash64("time", "source"), F.lit(salts)) + 1
+    # The other users' salt follows from their id rather than being a constant, which the
+    # optimizer would take out of the join key, leaving the hot users' events in one task.
+    own_salt = F.pmod(F.xxhash64("user_id"), F.lit(salts))
+    spread = F.pmod(F.xxhash64("time", "source"), F.lit(salts))
+    others = firsts.where(F.col("events") * hot_users <= all_events).select(
+        "user_id", own_salt.alias("salt"), "first_action"
+    )
     salted = events.join(F.broadcast(hot), "user_id", "left").withColumn(
-        "salt", F.when(is_hot, spread).otherwise(F.lit(0).cast("long"))
+        "salt", F.when(F.col("hot_first").isNotNull(), spread).otherwise(own_salt)
     )
-    cold = firsts.select("user_id", F.lit(0).cast("long").alias("salt"), "first_action")
-    return salted.join(cold, ["user_id", "salt"], "left").select(
+    return salted.join(others, ["user_id", "salt"], "left").select(
         "user_id",
         "action_time",
         "source",

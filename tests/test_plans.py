@@ -1,8 +1,10 @@
 """Properties of the physical plans that matter on large data."""
 
+import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from feedpulse.operators import alerts, experiments, reports, retention, rollup
@@ -24,7 +26,7 @@ def stored(spark, tmp_path_factory, sample_feed, sample_messages):
 def final_plan(df):
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
+    return text.split("\n+- == Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("name", sorted(set(registered.queries()) - RUN_STREAMS))
@@ -66,6 +68,24 @@ def test_bootstrap_expands_on_all_tasks(stored):
     assert "REPARTITION_BY_NUM" in final_plan(experiments.poisson_bootstrap(uc, 1, 2, reps=5))
 
 
+def test_hot_users_are_spread_in_the_join(spark, stored):
+    feed, _ = stored
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = retention.first_action_date(feed, hot_users=20)
+        text = final_plan(df)
+        parts = df.withColumn("p", F.spark_partition_id()).groupBy("user_id").agg(
+            F.count("*").alias("n"), F.count_distinct("p").alias("parts")
+        )
+        busiest = parts.orderBy(F.desc("n")).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert re.search(r"hashpartitioning\(user_id#\w+, salt#\w+", text)
+    assert text.count("ReusedExchange") == 1
+    assert busiest.n > 100 and busiest.parts == 8
+
+
 def test_bands_shuffle_once_after_the_series(stored):
     feed, _ = stored
     series = alerts.activity_series(feed)
