@@ -96,8 +96,8 @@ def first_action_date(feed: DataFrame, hot_users: int = HOT_USERS, salts: int =
 
     First dates are aggregated per user and joined back to the events. Users that
     hold more than 1/``hot_users`` of all events get theirs from a broadcast of
-    at most ``hot_users`` rows, and their events are spread over ``salts`` join
-    keys instead of meeting in one task. Hot and other users come out of the same
+    at most ``hot_users`` rows, and their events are spread over ``salts`` (a power
+    of two) join keys instead of meeting in one task. Hot and other users come out of the same
     aggregation, which Spark runs once.
     """
     events = feed.select("user_id", event_day().alias("action_time"), "source", "time")
@@ -110,8 +110,9 @@ def first_action_date(feed: DataFrame, hot_users: int = HOT_USERS, salts: int =
     )
     # The other users' salt follows from their id rather than being a constant, which the
     # optimizer would take out of the join key, leaving the hot users' events in one task.
-    own_salt = F.pmod(F.xxhash64("user_id"), F.lit(salts))
-    spread = F.pmod(F.xxhash64("time", "source"), F.lit(salts))
+    # A bit mask is never NULL, which keeps a filter away that would set the aggregations apart.
+    own_salt = F.xxhash64("user_id").bitwiseAND(F.lit(salts - 1))
+    spread = F.xxhash64("time", "source").bitwiseAND(F.lit(salts - 1))
     others = firsts.where(F.col("events") * hot_users <= all_events).select(
         "user_id", own_salt.alias("salt"), "first_action"
     )
