@@ -70,20 +70,27 @@ def test_bootstrap_expands_on_all_tasks(stored):
 
 def test_hot_users_are_spread_in_the_join(spark, stored):
     feed, _ = stored
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        df = retention.first_action_date(feed, hot_users=20)
+        df = retention.first_action_date(feed, hot_users=100)
         text = final_plan(df)
-        parts = df.withColumn("p", F.spark_partition_id()).groupBy("user_id").agg(
-            F.count("*").alias("n"), F.count_distinct("p").alias("parts")
-        )
-        busiest = parts.orderBy(F.desc("n")).first()
+        tasks = df.groupBy("user_id", F.spark_partition_id().alias("task")).count()
+        by_user = tasks.groupBy("user_id").agg(F.sum("count").alias("events"), F.count("*").alias("tasks"))
+        users = by_user.collect()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     assert re.search(r"hashpartitioning\(user_id#\w+, salt#\w+", text)
     assert text.count("ReusedExchange") == 1
-    assert busiest.n > 100 and busiest.parts == 8
+    hot = feed.count() / 100
+    assert any(u.events > hot for u in users) and any(u.events <= hot for u in users)
+    assert all(u.tasks > 4 if u.events > hot else u.tasks == 1 for u in users)
 
 
 def test_bands_shuffle_once_after_the_series(stored):
