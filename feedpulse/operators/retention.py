@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedpulse.functions.dates import days, event_day, monday, monday_of
@@ -97,29 +97,31 @@ def first_action_date(feed: DataFrame, hot_users: int = HOT_USERS, salts: int =
     First dates are aggregated per user and joined back to the events. Users that
     hold more than 1/``hot_users`` of all events get theirs from a broadcast of
     at most ``hot_users`` rows, and their events are spread over ``salts`` (a power
-    of two) join keys instead of meeting in one task. Hot and other users come out of the same
-    aggregation, which Spark runs once.
+    of two) join keys instead of meeting in one task. Hot and other users come out of
+    the same aggregation, which Spark runs once.
     """
     events = feed.select("user_id", event_day().alias("action_time"), "source", "time")
-    firsts = events.groupBy("user_id").agg(
+    firsts = events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.min("action_time").alias("first_action"), F.count("*").alias("events")
     )
     all_events = feed.agg(F.count("*")).scalar()
     hot = firsts.where(F.col("events") * hot_users > all_events).select(
         "user_id", F.col("first_action").alias("hot_first")
     )
-    # The other users' salt follows from their id rather than being a constant, which the
-    # optimizer would take out of the join key, leaving the hot users' events in one task.
-    # A bit mask is never NULL, which keeps a filter away that would set the aggregations apart.
-    own_salt = F.xxhash64("user_id").bitwiseAND(F.lit(salts - 1))
-    spread = F.xxhash64("time", "source").bitwiseAND(F.lit(salts - 1))
+    # The join key is one column, of user and salt: with two, Spark would reuse the
+    # partitioning by user alone that the aggregation leaves behind, and a constant salt
+    # would be optimized away. Either way a hot user's events would meet in one task.
+    def slot(*salted_by: str) -> Column:
+        return F.struct("user_id", F.xxhash64(*salted_by).bitwiseAND(F.lit(salts - 1)).alias("salt"))
+
     others = firsts.where(F.col("events") * hot_users <= all_events).select(
-        "user_id", own_salt.alias("salt"), "first_action"
+        slot("user_id").alias("slot"), "first_action"
     )
+    is_hot = F.col("hot_first").isNotNull()
     salted = events.join(F.broadcast(hot), "user_id", "left").withColumn(
-        "salt", F.when(F.col("hot_first").isNotNull(), spread).otherwise(own_salt)
+        "slot", F.when(is_hot, slot("time", "source")).otherwise(slot("user_id"))
     )
-    return salted.join(others, ["user_id", "salt"], "left").select(
+    return salted.join(others, "slot", "left").select(
         "user_id",
         "action_time",
         "source",
