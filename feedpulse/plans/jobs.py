@@ -1,4 +1,8 @@
-"""The scheduled jobs and the experiment reports, from input tables to result tables."""
+"""The scheduled jobs and the experiment reports, from input tables to result tables.
+
+Results that several parts of a report start from are stored in scratch space
+first, so that the event tables are read once for them.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 
 from feedpulse.operators import alerts, experiments, reports, retention, rollup
+from feedpulse.sources.scratch import stored
 from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write
 
 
@@ -34,14 +39,14 @@ def check_alerts(feed: DataFrame, as_of_ts: datetime, a: float = 4, n: int = 6)
 
 def feed_report(feed: DataFrame, as_of: date) -> dict[str, DataFrame]:
     """The feed report: one row of key values and the week's series for the charts."""
-    daily = reports.feed_daily_metrics(feed, as_of)
+    daily = stored(reports.feed_daily_metrics(feed, as_of), "feed-daily")
     return {"row": reports.feed_report_row(daily), "daily": daily}
 
 
 def service_report(feed: DataFrame, msg: DataFrame, as_of: date) -> dict[str, DataFrame]:
     """The whole-service report: eight key values and the series behind its charts."""
     dau = reports.dau_by_service(feed, msg, as_of)
-    new_users = reports.new_users_by_source(feed, msg, as_of)
+    new_users = stored(reports.new_users_by_source(feed, msg, as_of), "new-users")
     activity = reports.activity_change_daily(feed, msg, as_of)
     return {
         "rows": reports.service_report_row(dau, new_users, activity),
@@ -71,8 +76,8 @@ def aa_report(
     seed: int = 42,
 ) -> dict[str, DataFrame]:
     """A/A check of two groups: resampled p-values, pass rate, users who changed group."""
-    uc = experiments.user_ctr(feed, start, end, [a, b])
-    pvalues = experiments.aa_resample(uc, a, b, n, iters, seed)
+    uc = stored(experiments.user_ctr(feed, start, end, [a, b]), "user-ctr")
+    pvalues = stored(experiments.aa_resample(uc, a, b, n, iters, seed), "aa-pvalues")
     return {
         "counts": experiments.group_counts(uc),
         "split": experiments.split_consistency(feed, start, end),
@@ -91,7 +96,7 @@ def ab_report(
     seed: int = 42,
 ) -> dict[str, DataFrame]:
     """A/B comparison: pooled CTR, Welch test, Poisson bootstrap and linearized likes."""
-    uc = experiments.user_ctr(feed, start, end, [control, target])
+    uc = stored(experiments.user_ctr(feed, start, end, [control, target]), "user-ctr")
     boot = experiments.poisson_bootstrap(uc, control, target, reps, seed)
     return {
         "counts": experiments.group_counts(uc),

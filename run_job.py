@@ -47,7 +47,8 @@ def arguments() -> argparse.Namespace:
 
 def main() -> None:
     args = arguments()
-    spark = SparkSession.builder.appName(f"feedpulse-{args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"feedpulse-{args.job}")
+    spark = builder.config("spark.ui.enabled", "false").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def read(name: str, path: str) -> DataFrame:
