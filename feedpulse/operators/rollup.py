@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedpulse.functions.dates import days, on_days
+from feedpulse.functions.dates import days, event_day, on_days
 from feedpulse.functions.demographics import FEMALE, UNDER_25, age_group, gender_label
 from feedpulse.functions.measures import likes, total, views
 from feedpulse.sources.schema import DAILY_ROLLUP, ROLLUP_METRICS
@@ -80,17 +80,29 @@ def user_dims(feed: DataFrame, dims: str = "all") -> DataFrame:
     raise ValueError(f"unknown dims {dims!r}; use 'all' or 'latest'")
 
 
+def user_dims_by_day(feed: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """The dimension values seen on each day; all days together hold those of the history."""
+    labelled = user_demographics(on_days(feed, first, last))
+    return labelled.select(event_day().alias("event_date"), "user_id", *DIMENSIONS).distinct()
+
+
 def message_user_dims(
-    msg_daily: DataFrame, feed: DataFrame, unmatched: str = "defaults", dims: str = "all"
+    msg_daily: DataFrame,
+    feed: DataFrame,
+    unmatched: str = "defaults",
+    dims: str = "all",
+    known_dims: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the dimensions found in the whole feed history to per-user message counts.
 
     With ``dims='all'`` a user with several combinations appears once for each of
     them, and their messages count once for each. The history is reduced to
     distinct combinations before the join, so no user can bring more rows into
-    it than they have combinations, however many events they have.
+    it than they have combinations, however many events they have. ``known_dims``,
+    with one row per user and combination, takes the place of reading the history.
     """
-    joined = msg_daily.join(user_dims(feed, dims), "user_id", "left")
+    known = user_dims(feed, dims) if known_dims is None else known_dims
+    joined = msg_daily.join(known, "user_id", "left")
     # The labels are never NULL for a matched user, os may be.
     absent = F.col("gender").isNull()
     filled = {
@@ -139,6 +151,7 @@ def daily_rollup_final(
     as_of: date,
     unmatched: str = "defaults",
     dims: str = "all",
+    known_dims: DataFrame | None = None,
 ) -> DataFrame:
     """The roll-up table's rows for the day before ``as_of``.
 
@@ -146,6 +159,7 @@ def daily_rollup_final(
     instead of by user, and the per-user merge of the two services is left out.
     """
     feed_part = user_demographics(_yesterday(feed, as_of)).groupBy(*DIMENSIONS).agg(likes(), views())
-    by_user = message_user_dims(message_user_daily(msg, as_of), feed, unmatched, dims)
+    msg_daily = message_user_daily(msg, as_of)
+    by_user = message_user_dims(msg_daily, feed, unmatched, dims, known_dims)
     rows = dimension_rollup(_stack(feed_part, by_user.drop("user_id")))
     return rows.withColumn("event_date", F.lit(as_of - days(1))).select(*DAILY_ROLLUP.fieldNames())

@@ -10,9 +10,10 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
+from feedpulse.functions.dates import days
 from feedpulse.operators import alerts, experiments, reports, retention, rollup
 from feedpulse.sources.scratch import stored
-from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write
+from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write, user_dims_write
 
 
 def daily_rollup(
@@ -21,9 +22,21 @@ def daily_rollup(
     as_of: date,
     path: str | None = None,
     table: str | None = None,
+    dims_path: str | None = None,
 ) -> DataFrame:
-    """Compute the roll-up of the day before ``as_of`` and store it by path and/or table."""
-    rows = rollup.daily_rollup_final(feed, msg, as_of)
+    """Compute the roll-up of the day before ``as_of`` and store it by path and/or table.
+
+    Users' dimensions come from the whole feed history. With ``dims_path`` the days'
+    distinct values are kept there, yesterday's are added, and the history is not
+    read again; ``backfill_dims`` fills the folder once.
+    """
+    known = None
+    if dims_path is not None:
+        yesterday = as_of - days(1)
+        user_dims_write(rollup.user_dims_by_day(feed, yesterday, yesterday), dims_path)
+        kept = feed.sparkSession.read.parquet(dims_path)
+        known = kept.select("user_id", *rollup.DIMENSIONS).distinct()
+    rows = rollup.daily_rollup_final(feed, msg, as_of, known_dims=known)
     if path is not None:
         daily_rollup_write(rows, path)
     if table is not None:
@@ -31,6 +44,11 @@ def daily_rollup(
     return rows
 
 
+def backfill_dims(feed: DataFrame, as_of: date, dims_path: str) -> None:
+    """Store the dimension values of all days before ``as_of``."""
+    user_dims_write(rollup.user_dims_by_day(feed, None, as_of - days(1)), dims_path)
+
+
 def check_alerts(feed: DataFrame, as_of_ts: datetime, a: float = 4, n: int = 6) -> DataFrame:
     """Alerts for the last closed bucket before ``as_of_ts``."""
     series = alerts.activity_15min(feed, as_of_ts)

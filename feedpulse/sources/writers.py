@@ -34,6 +34,12 @@ def daily_rollup_write(rollup: DataFrame, path: str, mode: str = "overwrite_day"
         raise ValueError(f"unknown mode {mode!r}; use 'overwrite_day' or 'append'")
 
 
+def user_dims_write(dims: DataFrame, path: str) -> None:
+    """Store the dimension values of some days (``user_dims_by_day``), replacing those days."""
+    writer = dims.hint("rebalance", DAY_PARTITION).write.partitionBy(DAY_PARTITION)
+    writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
 def daily_rollup_create(spark: SparkSession, table: str) -> None:
     """Create the catalog table for the roll-up if it does not exist yet."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DAILY_ROLLUP)

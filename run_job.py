@@ -28,6 +28,8 @@ def arguments() -> argparse.Namespace:
     day = date.fromisoformat
     rollup = command("daily-rollup", "roll-up of the day before --as-of", messages=True)
     rollup.add_argument("--as-of", type=day, required=True)
+    rollup.add_argument("--dims", help="folder that keeps the users' dimension values by day")
+    rollup.add_argument("--backfill", action="store_true", help="fill --dims from the history first")
     alerts = command("alerts", "alerts for the last closed bucket before --as-of")
     alerts.add_argument("--as-of", type=datetime.fromisoformat, required=True)
     command("feed-report", "feed report").add_argument("--as-of", type=day, required=True)
@@ -67,7 +69,10 @@ def main() -> None:
     feed = read("feed_actions", args.feed)
     results: dict[str, DataFrame] = {}
     if args.job == "daily-rollup":
-        jobs.daily_rollup(feed, read("message_actions", args.messages), args.as_of, path=args.out)
+        if args.backfill:
+            jobs.backfill_dims(feed, args.as_of, args.dims)
+        messages = read("message_actions", args.messages)
+        jobs.daily_rollup(feed, messages, args.as_of, path=args.out, dims_path=args.dims)
     elif args.job == "alerts":
         results = {"alerts": jobs.check_alerts(feed, args.as_of)}
     elif args.job == "feed-report":

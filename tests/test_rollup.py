@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedpulse.operators import rollup
+from feedpulse.plans import jobs
 from feedpulse.sources.schema import DAILY_ROLLUP, ROLLUP_METRICS
 from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write
 
@@ -105,3 +106,13 @@ def test_catalog_table_is_created_and_replaced_by_day(spark, make_feed, make_mes
     daily_rollup_save(final, "daily_rollup")
     columns = DAILY_ROLLUP.fieldNames()
     assert rows(spark.table("daily_rollup"), *columns) == rows(final, *columns)
+
+
+def test_kept_dimensions_give_the_same_rollup(tmp_path, sample_feed, sample_messages):
+    dims_path = str(tmp_path / "dims")
+    jobs.backfill_dims(sample_feed, date(2024, 1, 30), dims_path)
+    names = DAILY_ROLLUP.fieldNames()
+    want = rows(rollup.daily_rollup_final(sample_feed, sample_messages, AS_OF), *names)
+    for _ in range(2):
+        kept = jobs.daily_rollup(sample_feed, sample_messages, AS_OF, dims_path=dims_path)
+        assert rows(kept, *names) == want
