@@ -28,6 +28,12 @@ from feedpulse.sources.writers import daily_rollup_write  # noqa: E402
 from feedpulse.streaming import activity  # noqa: E402
 from oracle.queries import statements  # noqa: E402
 
+try:  # the operators for training data can be left out
+    import corpus_pipeline  # noqa: E402
+    from feedpulse.llm import queries as llm  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPLIT_PERIOD = (date(2024, 1, 15), date(2024, 1, 28))
@@ -108,7 +114,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """Every operator over the whole action tables derived from ``events``."""
+    """Every registered query."""
+    more = {} if llm is None else {**llm.queries(), "pipeline": corpus_pipeline.run}
+    return {**product_queries(), **more}
+
+
+def product_queries() -> dict[str, Query]:
+    """Every product operator over the whole action tables derived from ``events``."""
     bands = lambda feed: alerts.iqr_bands(alerts.activity_15min(feed, AS_OF_TS))
     return {
         # Daily roll-up
@@ -226,5 +238,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in DuckDB's SQL."""
-    return statements()
+    """The same results in DuckDB's SQL, for the queries that it can express."""
+    more = {} if llm is None else llm.oracle_sql()
+    if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
+        more = {**more, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**statements(), **more}

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as registered
 from tests.conftest import SMALL
 
-QUERIES, STATEMENTS = registered.queries(), registered.oracle_sql()
+QUERIES, STATEMENTS = registered.product_queries(), registered.statements()
 
 
 @pytest.fixture(scope="module")
