@@ -20,16 +20,15 @@ import hashlib
 import heapq
 import unicodedata
 from collections.abc import Iterator
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from feedpulse.llm.arrow import as_bytes, clear_of, ragged, slices
+from feedpulse.llm.arrow import added, clear_of, ragged
 
 # Classes of code points.
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
@@ -152,36 +151,80 @@ def token_starts(points: np.ndarray) -> np.ndarray:
     return starts[states_before(of_symbol[symbol]), symbol]
 
 
-class Merger:
-    """Merges byte slices by the ranks of a vocabulary file; a token's id is its rank."""
+class Vocabulary:
+    """A vocabulary file's byte strings; a token's id is its rank."""
 
     def __init__(self, ranks_file: bytes) -> None:
         pairs = [line.split() for line in ranks_file.splitlines() if line]
         self.ids = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        size = max(self.ids.values()) + 1
-        self.tokens = [b""] * size
+        tokens = [b""] * (max(self.ids.values()) + 1)
         for token, rank in self.ids.items():
-            self.tokens[rank] = token
-        self.length = np.array([len(t) for t in self.tokens], dtype=np.int64)
+            tokens[rank] = token
+        self.length = np.array([len(t) for t in tokens], dtype=np.int64)
         self.start = np.cumsum(self.length) - self.length
-        self.bytes = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
-        self.text = [str(i) for i in range(size)]
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.text = [str(i) for i in range(len(tokens))]
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of each text, of which there are ``counts`` ids."""
+        lengths = self.length[ids]
+        data = self.bytes[ragged(self.start[ids], lengths)].tobytes()
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+class Numbers(dict):
+    """Numbers words in the order they come; only the first ``CACHED`` are kept beyond a batch."""
+
+    def __init__(self) -> None:
+        self.new: dict[bytes, int] = {}
+        self.base = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.new.setdefault(word, self.base + len(self.new))
+
+    def settle(self) -> int:
+        """Keep what may be kept of the batch's new words; how many that are."""
+        kept = 0
+        for word, number in self.new.items():
+            if number >= CACHED:
+                break
+            self[word] = number
+            kept += 1
+        self.base += kept
+        self.new = {}
+        return kept
+
+
+class Merger(Vocabulary):
+    """Merges byte slices by rank."""
+
+    def __init__(self, ranks_file: bytes) -> None:
+        super().__init__(ranks_file)
         self.single = np.array([self.ids[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.pair: dict[tuple[int, int], int] = {}
+        self._fill_table()
+        self.numbers = Numbers()
+        self.known_ids = np.empty(0, dtype=np.int32)
+        self.known_counts = np.empty(0, dtype=np.int64)
+
+    def pairs(self) -> Iterator[tuple[int, int, int]]:
+        """All pairs of ids that make up a token, with its id."""
         for token, rank in self.ids.items():
             for cut in range(1, len(token)):
                 left, right = self.ids.get(token[:cut]), self.ids.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pair[left, right] = rank
-        self._fill_table()
-        self.known: dict[bytes, int] = {}
-        self.known_ids: list[np.ndarray] = []
+                    yield left, right, rank
+
+    @cached_property
+    def pair(self) -> dict[int, int]:
+        """The same by key, for the rare long words."""
+        return {left << 32 | right: rank for left, right, rank in self.pairs()}
 
     def _fill_table(self) -> None:
         """An open-addressed table of all pairs that merge."""
-        keys = np.array([a << 32 | b for a, b in self.pair], dtype=np.int64)
-        ranks = np.array(list(self.pair.values()), dtype=np.int32)
-        self.bits = max(10, int(np.ceil(np.log2(4 * len(keys) + 1))))
+        found = np.array(list(self.pairs()), dtype=np.int64)
+        keys, ranks = found[:, 0] << 32 | found[:, 1], found[:, 2].astype(np.int32)
+        self.bits = max(10, int(np.ceil(np.log2(3 * len(keys)))))
         self.table_keys = np.full(1 << self.bits, -1, dtype=np.int64)
         self.table_ranks = np.full(1 << self.bits, INFINITE, dtype=np.int32)
         slot = self._slot(keys)
@@ -215,7 +258,7 @@ class Merger:
 
     def merge_all(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of every word; the leftmost pair of the lowest rank merges first."""
-        out: list[np.ndarray] = [None] * len(words)
+        out = [np.empty(0, dtype=np.int32)] * len(words)
         sizes = np.array([len(w) for w in words])
         low = 0
         for high in (6, 10, 16, 26, LONGEST_IN_ARRAYS):
@@ -269,7 +312,7 @@ class Merger:
 
         def push(i: int) -> None:
             j = after[i]
-            if j < n and (rank := self.pair.get((ids[i], ids[j]))) is not None:
+            if j < n and (rank := self.pair.get(ids[i] << 32 | ids[j])) is not None:
                 heapq.heappush(heap, (rank, i, ids[i], j, ids[j]))
 
         for i in range(n - 1):
@@ -299,40 +342,24 @@ class Merger:
         offset = np.concatenate([[0], np.cumsum(width)])
         buffer = "".join(strings).encode("utf-8", "surrogatepass")
         cuts = np.append(offset[starts], len(buffer))
-        pieces = [buffer[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        known, new = self.known, {}
-        found = [known.get(p, -1) for p in pieces]
-        number = np.array(found, dtype=np.int64)
-        missing = np.flatnonzero(number < 0).tolist()
-        base = len(self.known_ids)
-        for i in missing:
-            p = pieces[i]
-            number[i] = base + new.setdefault(p, len(new))
-        words = list(new)
-        merged = self.merge_all([w or b"" for w in words]) if words else []
-        merged = [m if m is not None else np.empty(0, np.int32) for m in merged]
-        lookup = self.known_ids + merged
-        if base < CACHED:
-            for w, m in zip(words, merged, strict=True):
-                if len(w) <= LONGEST_IN_ARRAYS:
-                    known[w] = len(self.known_ids)
-                    self.known_ids.append(m)
-        chosen = [lookup[i] for i in number.tolist()]
-        ids = np.concatenate([np.empty(0, np.int32), *chosen])
-        per_piece = np.array([len(c) for c in chosen], dtype=np.int64)
+        pieces = (buffer[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        number = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(starts))
+        # A text's end makes an empty piece.
+        merged = self.merge_all(list(self.numbers.new))
+        of_new = np.array([len(m) for m in merged], dtype=np.int64)
+        kept = self.numbers.settle()
+        known_counts = np.concatenate([self.known_counts, of_new])
+        known_ids = np.concatenate([self.known_ids, *merged])
+        self.known_counts = known_counts[: len(self.known_counts) + kept]
+        self.known_ids = known_ids[: int(self.known_counts.sum())]
+        per_piece = known_counts[number]
+        ids = known_ids[ragged((np.cumsum(known_counts) - known_counts)[number], per_piece)]
         text_of = np.searchsorted(ends, starts)
         counts = np.bincount(text_of, weights=per_piece, minlength=len(texts)).astype(np.int64)
         lengths = self.length[ids]
         text_base = np.repeat(np.concatenate([[0], offset[ends]])[:-1], counts)
         return ids, counts, np.cumsum(lengths) - lengths - text_base
 
-    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        """The bytes of each text."""
-        lengths = self.length[ids]
-        data = self.bytes[ragged(self.start[ids], lengths)].tobytes()
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-
 
 @lru_cache(maxsize=2)
 def merger(ranks_file: bytes) -> Merger:
@@ -340,6 +367,11 @@ def merger(ranks_file: bytes) -> Merger:
     return Merger(ranks_file)
 
 
+@lru_cache(maxsize=2)
+def vocabulary(ranks_file: bytes) -> Vocabulary:
+    return Vocabulary(ranks_file)
+
+
 def read_ranks(path: str) -> bytes:
     with open(path, "rb") as file:
         return file.read()
@@ -350,76 +382,67 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-def encode(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` and ``token_starts``, the byte of the text each id starts at.
+def _from_texts(docs: DataFrame, ranks_path: str, text: str, new: str, make) -> DataFrame:
+    """``docs`` with columns that ``make`` gets from a merger's output for a few megabytes of texts.
 
     The vocabulary file, of bounded size, goes to the executors as a broadcast.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    kept = [c for c in docs.columns if c.lower() not in ("ids", "token_starts")]
-    raw = clear_of(docs, "raw_text")
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], as_bytes(F.col(f"`{text}`").cast("binary")).alias(raw))
-    new = [StructField(n, ArrayType(IntegerType())) for n in ("ids", "token_starts")]
-    schema = StructType([*source.schema.fields[:-1], *new])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def arrays(texts: list[bytes]) -> list[pa.Array]:
         tool = merger(ranks.value)
-        for batch in batches:
-            for part in slices(batch, raw):
-                ids, counts, starts = tool.encode(part.column(raw).to_pylist())
-                arrays = [*part.columns[:-1], _lists(ids, counts), _lists(starts, counts)]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        return make(tool, *tool.encode(texts))
 
-    return source.mapInArrow(run, schema)
-
-
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(zero_copy_only=False), counts
+    return added(docs, text, new, arrays)
 
 
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` with ``decoded``, the bytes of its ids; null ids as none."""
-    return _with_ids(
-        encoded,
+def encode(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens``, ``ids`` and ``token_starts``, the byte of the text each id starts at."""
+    return _from_texts(
+        docs,
         ranks_path,
-        [StructField("decoded", BinaryType())],
-        lambda tool, ids, counts: [pa.array(tool.decode(ids, counts), pa.binary())],
+        text,
+        "n_tokens long, ids array<int>, token_starts array<int>",
+        lambda _, ids, counts, starts: [pa.array(counts), _lists(ids, counts), _lists(starts, counts)],
     )
 
 
-def digests(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` with ``n_tokens``, ``ids_sha256`` and, of the decoded bytes, ``decoded_sha256``."""
-    new = StructType.fromDDL("n_tokens long, ids_sha256 string, decoded_sha256 string")
+def digests(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens`` and the SHA-256 of the ids and of the bytes they decode to.
 
-    def make(tool: Merger, ids: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
-        text, ends = tool.text, np.concatenate([[0], np.cumsum(counts)]).tolist()
-        every = [text[i] for i in ids.tolist()]
-        joined = [
-            hashlib.sha256(" ".join(every[a:b]).encode()).hexdigest()
-            for a, b in zip(ends[:-1], ends[1:], strict=True)
-        ]
-        decoded = [hashlib.sha256(x).hexdigest() for x in tool.decode(ids, counts)]
-        return [pa.array(counts, pa.int64()), pa.array(joined, pa.string()), pa.array(decoded, pa.string())]
+    In one pass, so that the ids need not leave the worker.
+    """
+
+    def make(tool: Merger, ids: np.ndarray, counts: np.ndarray, _: np.ndarray) -> list[pa.Array]:
+        decimals = [tool.text[i] for i in ids.tolist()]
+        ends = np.concatenate([[0], np.cumsum(counts)]).tolist()
+        spans = zip(ends[:-1], ends[1:], strict=True)
+        of_ids = [hashlib.sha256(" ".join(decimals[a:b]).encode()).hexdigest() for a, b in spans]
+        of_bytes = [hashlib.sha256(x).hexdigest() for x in tool.decode(ids, counts)]
+        return [pa.array(counts), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
 
-    return _with_ids(encoded, ranks_path, new.fields, make)
+    new = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _from_texts(docs, ranks_path, text, new, make)
 
 
-def _with_ids(encoded: DataFrame, ranks_path: str, new: list[StructField], make) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``encoded`` with ``decoded``, the bytes of its ``ids``; null ids count as none."""
     ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    names = {f.name.lower() for f in new}
-    kept = [c for c in encoded.columns if c.lower() not in names]
+    kept = [c for c in encoded.columns if c.lower() != "decoded"]
     own = clear_of(encoded, "own_ids")
-    no_ids = F.array().cast("array<int>")
-    source = encoded.select(*[F.col(f"`{c}`") for c in kept], F.coalesce("ids", no_ids).alias(own))
-    schema = StructType([*source.schema.fields[:-1], *new])
+    source = encoded.select(
+        *[F.col(f"`{c}`") for c in kept], F.coalesce("ids", F.array().cast("array<int>")).alias(own)
+    )
+    schema = StructType([*source.schema.fields[:-1], StructField("decoded", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = merger(ranks.value)
+        words = vocabulary(ranks.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                arrays = [*part.columns[:-1], *make(tool, *_flat(part.column(own)))]
+                ids = part.column(own)
+                texts = words.decode(ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy()))
+                arrays = [*part.columns[:-1], pa.array(texts, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedpulse.llm import bpe, simhash
+from feedpulse.llm import bpe, mixing, pii, simhash, toxicity
 from feedpulse.llm.arrow import documents
+from feedpulse.llm.stages import DEMONSTRATION_KEY, MAX_REPEATS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,16 +18,37 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, folder), shingle=4, distance=4)
 
 
+def op4_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each copy of a document in the mixture."""
+    mixed = mixing.mixture(documents(spark, folder), max_repeats=MAX_REPEATS)
+    return mixed.select("doc_id", "source", "epoch", "block", "place")
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(documents(spark, folder).select("doc_id", "text"), ranks)
-    return bpe.digests(encoded.select("doc_id", "ids"), ranks).select(
-        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
-    )
+    digested = bpe.digests(documents(spark, folder).select("doc_id", "text"), ranks)
+    return digested.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return pii.with_surrogates(docs, DEMONSTRATION_KEY)
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.toxicity(documents(spark, folder), labels)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op5_byte_bpe)}
+    operators = (
+        op1_simhash_near_dedup,
+        op4_temperature_mixing,
+        op5_byte_bpe,
+        op9_pii_surrogates,
+        op10_toxicity,
+    )
+    return {f.__name__: f for f in operators}
 
 
 def oracle_sql() -> dict[str, str]:
