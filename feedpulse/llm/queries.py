@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedpulse.llm import bpe, mixing, pii, simhash, toxicity
-from feedpulse.llm.arrow import documents
+from feedpulse.llm import bpe, embedding_dedup, mixing, neighbours, pii, sharding, simhash, toxicity, unigram
+from feedpulse.llm.arrow import documents, embeddings
 from feedpulse.llm.stages import DEMONSTRATION_KEY, MAX_REPEATS
 
+SHARD_BYTES = 1 << 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -18,6 +20,11 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, folder), shingle=4, distance=4)
 
 
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = embeddings(spark, folder)
+    return neighbours.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
 def op4_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each copy of a document in the mixture."""
     mixed = mixing.mixture(documents(spark, folder), max_repeats=MAX_REPEATS)
@@ -30,6 +37,21 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digested.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(embeddings(spark, folder), cosine=0.98)
+
+
+def op7_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shards(documents(spark, folder).select("doc_id", "text"), SHARD_BYTES)
+    return placed.select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs")
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = unigram.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = documents(spark, folder).select("doc_id", "text")
+    return unigram.token_counts(docs, vocabulary).select("doc_id", "n_tokens", "best_score")
+
+
 def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return pii.with_surrogates(docs, DEMONSTRATION_KEY)
@@ -43,8 +65,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     operators = (
         op1_simhash_near_dedup,
+        op2_nearest_neighbours,
         op4_temperature_mixing,
         op5_byte_bpe,
+        op6_embedding_near_dedup,
+        op7_extendible_sharding,
+        op8_token_counts,
         op9_pii_surrogates,
         op10_toxicity,
     )
@@ -52,4 +78,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_extendible_sharding": sharding.oracle(SHARD_BYTES)}

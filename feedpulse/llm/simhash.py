@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedpulse.llm.arrow import added, clear_of
+from feedpulse.llm.cells import cells
 from feedpulse.llm.components import components, forest
 from feedpulse.sources.scratch import stored
 
@@ -168,32 +169,6 @@ def visits(nodes: DataFrame, distance: int, blocks: int, together: int) -> DataF
     return nodes.select("node").mapInArrow(run, "anchor long, resident boolean, node long")
 
 
-def cells(visits: DataFrame, size: int) -> DataFrame:
-    """``visits`` with the cell (r, v) of their anchor; a resident is in row r of its anchor's cells,
-    a visitor in column v, and every resident meets every visitor in one cell."""
-    counts = (
-        visits.groupBy("anchor")
-        .agg(F.count("*").alias("n"), F.count_if("resident").alias("residents"))
-        .where(f"n > {size}")
-        .select(
-            "anchor",
-            F.ceil(F.col("residents") / size).cast("int").alias("rows"),
-            F.ceil(F.col("n") / size).cast("int").alias("columns"),
-        )
-    )
-    known = visits.join(counts, "anchor", "left").na.fill(1, ["rows", "columns"])
-    here = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
-    as_visitor = known.select(
-        "anchor", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), here("columns", 1).alias("v"),
-        F.lit(False).alias("resident"), "node",
-    )
-    as_resident = known.where("resident").select(
-        "anchor", here("rows", 2).alias("r"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("v"),
-        F.lit(True).alias("resident"), "node",
-    )
-    return as_visitor.unionByName(as_resident)
-
-
 def cell_links(resident: np.ndarray, visitor: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of a cell's links."""
     nodes, at = np.unique(np.concatenate([resident, visitor]), return_inverse=True)
@@ -221,7 +196,7 @@ def links(nodes: DataFrame, distance: int, blocks: int, together: int, cell: int
         a, b = cell_links(node[home], node[~home], distance)
         return pa.table({"a": a, "b": b})
 
-    found = cells(visits(nodes, distance, blocks, together), cell)
+    found = cells(visits(nodes, distance, blocks, together), ["anchor"], "node", cell)
     return found.groupBy("anchor", "r", "v").applyInArrow(compare, "a long, b long")
 
 
