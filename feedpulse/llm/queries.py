@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedpulse.llm import bpe, embedding_dedup, mixing, neighbours, pii, sharding, simhash, toxicity, unigram
+from feedpulse.llm import bpe, embedding_dedup, html, mixing, neighbours, pii, sharding, simhash, toxicity, unigram
 from feedpulse.llm.arrow import documents, embeddings
 from feedpulse.llm.stages import DEMONSTRATION_KEY, MAX_REPEATS
 
@@ -25,6 +25,11 @@ def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op3_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    return html.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op4_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each copy of a document in the mixture."""
     mixed = mixing.mixture(documents(spark, folder), max_repeats=MAX_REPEATS)
@@ -66,6 +71,7 @@ def queries() -> dict[str, Query]:
     operators = (
         op1_simhash_near_dedup,
         op2_nearest_neighbours,
+        op3_html_main_text,
         op4_temperature_mixing,
         op5_byte_bpe,
         op6_embedding_near_dedup,
