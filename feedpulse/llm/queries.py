@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedpulse.llm import bpe, embedding_dedup, html, mixing, neighbours, pii, sharding, simhash, toxicity, unigram
 from feedpulse.llm.arrow import documents, embeddings
+from feedpulse.llm.ship import shipping
 from feedpulse.llm.stages import DEMONSTRATION_KEY, MAX_REPEATS
 
 SHARD_BYTES = 1 << 20
@@ -16,52 +17,62 @@ SHARD_BYTES = 1 << 20
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+@shipping
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, folder), shingle=4, distance=4)
 
 
+@shipping
 def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     rows = embeddings(spark, folder)
     return neighbours.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+@shipping
 def op3_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     return html.main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@shipping
 def op4_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each copy of a document in the mixture."""
     mixed = mixing.mixture(documents(spark, folder), max_repeats=MAX_REPEATS)
     return mixed.select("doc_id", "source", "epoch", "block", "place")
 
 
+@shipping
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     digested = bpe.digests(documents(spark, folder).select("doc_id", "text"), ranks)
     return digested.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@shipping
 def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(embeddings(spark, folder), cosine=0.98)
 
 
+@shipping
 def op7_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shards(documents(spark, folder).select("doc_id", "text"), SHARD_BYTES)
     return placed.select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs")
 
 
+@shipping
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = unigram.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     docs = documents(spark, folder).select("doc_id", "text")
     return unigram.token_counts(docs, vocabulary).select("doc_id", "n_tokens", "best_score")
 
 
+@shipping
 def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return pii.with_surrogates(docs, DEMONSTRATION_KEY)
 
 
+@shipping
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return toxicity.toxicity(documents(spark, folder), labels)

@@ -7,33 +7,39 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedpulse.llm import bpe, mixing, pii, simhash
 from feedpulse.llm import toxicity as toxic
+from feedpulse.llm.ship import shipping
 
 #: A deployment passes its own secret; with a published one, surrogates can be traced back.
 DEMONSTRATION_KEY = b"feedpulse demonstration key"
 MAX_REPEATS = 2.0
 
 
+@shipping
 def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that score below 0.5; the score is learned from their own labels."""
     return toxic.without_toxic(docs, spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+@shipping
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
     return simhash.first_of_each_group(docs, shingle=4, distance=4)
 
 
+@shipping
 def pii_surrogates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, personal data replaced; ``n_chars`` follows the text."""
     new = pii.with_surrogates(docs, DEMONSTRATION_KEY, counted=None)
     return new.selectExpr(*[f"CAST(length(text) AS BIGINT) AS {c}" if c == "n_chars" else f"`{c}`" for c in new.columns])
 
 
+@shipping
 def mixing_weights(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, those of small sources up to twice."""
     return mixing.mixture(docs, max_repeats=MAX_REPEATS).select(*[f"`{c}`" for c in docs.columns])
 
 
+@shipping
 def byte_bpe(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents with their ids and the byte each id starts at."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
