@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,7 +60,7 @@ def added(
     """``df`` with new columns (a DDL string) that ``make`` computes from the texts' bytes.
 
     A column of ``df`` with the name of a new one gives way to it. ``make`` gets
-    the texts of a few megabytes at a time, null as empty.
+    the texts of about a megabyte at a time, null as empty.
     """
     from pyspark.sql.types import StructType  # noqa: PLC0415
 

@@ -49,7 +49,7 @@ FRESH, IN_WHITE, JOIN, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ONE_MORE, TWO_MORE = r
 
 INFINITE = np.int32(2**31 - 1)
 BLOCK = 64
-CACHED = 300_000
+CACHED = 150_000
 LONGEST_IN_ARRAYS = 48
 
 
@@ -383,7 +383,7 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def _from_texts(docs: DataFrame, ranks_path: str, text: str, new: str, make) -> DataFrame:
-    """``docs`` with columns that ``make`` gets from a merger's output for a few megabytes of texts.
+    """``docs`` with columns that ``make`` gets from a merger's output for about a megabyte of texts.
 
     The vocabulary file, of bounded size, goes to the executors as a broadcast.
     """

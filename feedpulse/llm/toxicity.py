@@ -50,7 +50,7 @@ REPORTING = set(
     " dijo escribió llamó cita".split()
 )
 QUOTED = re.compile(r"\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“\n]{1,400}“")
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 50_000
 
 
 def words_of(text: bytes) -> list[str]:
@@ -195,7 +195,7 @@ def term_counts(sample: DataFrame) -> DataFrame:
 
     def toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "raw", 1 << 20):
+            for part in slices(batch, "raw", 1 << 17):
                 rows = []
                 for text in part.column("raw").to_pylist():
                     words = words_of(text)
