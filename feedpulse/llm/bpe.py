@@ -332,6 +332,9 @@ class Merger(Vocabulary):
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, how many of them each text has, and the byte at which each id starts."""
+        if not texts:
+            none = np.empty(0, dtype=np.int64)
+            return none, none, none
         strings = [t.decode("utf-8", "replace") for t in texts]
         points = np.frombuffer("\0".join([*strings, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
         ends = np.cumsum([len(s) + 1 for s in strings]) - 1
