@@ -66,7 +66,7 @@ MAIN_NAMES = ("article", "main")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</(?P<close>[A-Za-z][^\s>/]*)[^>]*(?:>|\Z)"
-    r"|<(?P<open>[A-Za-z][^\s>/]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(?P<open>[A-Za-z][^\s>/]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")

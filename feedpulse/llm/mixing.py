@@ -45,7 +45,7 @@ def shares(places: DataFrame) -> DataFrame:
     """(source, tokens, docs, share) of a table of (source, place, tokens, docs); stored."""
     by_source = places.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs"))
     total = by_source.agg(F.sum("tokens").alias("all_tokens"))
-    return stored(by_source.join(F.broadcast(total)).withColumn("share", F.expr("tokens / all_tokens")), "shares")
+    return stored(by_source.join(F.broadcast(total)).withColumn("share", F.expr("coalesce(try_divide(tokens, all_tokens), 0.0)")), "shares")
 
 
 def _measures(shares: DataFrame, exponents: list[float]) -> list[dict[str, float]]:
