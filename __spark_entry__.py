@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -12,9 +12,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from feedpulse.functions.dates import days  # noqa: E402
 from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup  # noqa: E402
-from feedpulse.sources import sample  # noqa: E402
-from feedpulse.sources.sample import (  # noqa: E402
+from feedpulse.plans import jobs  # noqa: E402
+from oracle import sample  # noqa: E402
+from oracle.sample import (  # noqa: E402
     AA_WEEK,
     AB_WEEK,
     AS_OF,
@@ -37,7 +39,12 @@ except ImportError:
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPLIT_PERIOD = (date(2024, 1, 15), date(2024, 1, 28))
-SAMPLE_SIZE, ITERATIONS, REPLICATES, SEED, BINS = 15, 200, 200, 42, 20
+# The groups hold 17 users at the least where results are compared, hence the sample size.
+SAMPLE_SIZE, ITERATIONS, REPLICATES, SEED, BINS = 15, 10_000, 2_000, 42, 20
+# Two alerts are due then.
+ALERT_TS = datetime(2024, 1, 30, 12, 47)
+# With 1/150 of the events as the bound, some users are hot and others are not.
+FEW_HOT = 150
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -76,6 +83,13 @@ def rollup_stored(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def rollup_with_kept_dims(spark: SparkSession, folder: str) -> DataFrame:
+    """The roll-up from kept dimension values and one new day."""
+    feed, path = feed_actions(spark, folder), scratch_path(spark, "dims")
+    jobs.backfill_dims(feed, AS_OF - days(1), path)
+    return jobs.daily_rollup(feed, message_actions(spark, folder), AS_OF, dims_path=path)
+
+
 def streamed_activity(spark: SparkSession, folder: str) -> DataFrame:
     feed = sample.feed_from_events(sample.stream_events(spark, folder))
     base = scratch_path(spark, "activity-stream")
@@ -97,7 +111,7 @@ def aa_users(feed: DataFrame, *groups: int) -> DataFrame:
 
 
 def ab_users(feed: DataFrame, *groups: int) -> DataFrame:
-    return experiments.user_ctr(feed, *AB_WEEK, groups)
+    return experiments.user_ctr(feed, *AB_WEEK, groups or None)
 
 
 def resampled(feed: DataFrame, a: int, b: int, n: int = SAMPLE_SIZE) -> DataFrame:
@@ -121,7 +135,10 @@ def queries() -> dict[str, Query]:
 
 def product_queries() -> dict[str, Query]:
     """Every product operator over the whole action tables derived from ``events``."""
-    bands = lambda feed: alerts.iqr_bands(alerts.activity_15min(feed, AS_OF_TS))
+    bands = lambda feed, at=AS_OF_TS: alerts.iqr_bands(alerts.activity_15min(feed, at))
+    full = lambda f, m, at=AS_OF_TS: alerts.iqr_bands(
+        alerts.activity_15min_full(f, m, at), alerts.ALL_METRICS
+    )
     return {
         # Daily roll-up
         "user_demographics": on_feed(
@@ -136,12 +153,15 @@ def product_queries() -> dict[str, Query]:
         "dimension_rollup": on_both(lambda f, m: rollup.dimension_rollup(merged(f, m))),
         "daily_rollup_final": on_both(lambda f, m: rollup.daily_rollup_final(f, m, AS_OF)),
         "daily_rollup_write": rollup_stored,
+        "daily_rollup_kept_dims": rollup_with_kept_dims,
         # Alerts
         "activity_15min": on_feed(lambda f: alerts.activity_15min(f, AS_OF_TS)),
         "activity_15min_filled": on_feed(lambda f: alerts.activity_15min(f, AS_OF_TS, fill=True)),
         "activity_15min_full": on_both(lambda f, m: alerts.activity_15min_full(f, m, AS_OF_TS)),
         "iqr_bands": on_feed(bands),
-        "anomaly_alerts": on_feed(lambda f: alerts.anomaly_alerts(bands(f))),
+        "iqr_bands_full": on_both(full),
+        "anomaly_alerts": on_feed(lambda f: alerts.anomaly_alerts(bands(f, ALERT_TS))),
+        "anomaly_alerts_full": on_both(lambda f, m: alerts.anomaly_alerts(full(f, m, ALERT_TS))),
         "anomaly_check": on_feed(lambda f: alerts.anomaly_alerts(bands(f), flagged_only=False)),
         "anomaly_backtest": on_feed(lambda f: alerts.anomaly_backtest(alerts.activity_series(f))),
         "activity_15min_stream": streamed_activity,
@@ -178,6 +198,7 @@ def product_queries() -> dict[str, Query]:
             lambda f: retention.weekly_retention_percent(f, "organic", 2)
         ),
         "first_action_date": on_feed(retention.first_action_date),
+        "first_action_date_few_hot": on_feed(lambda f: retention.first_action_date(f, FEW_HOT)),
         "campaign_daily_retention": on_feed(
             lambda f: retention.campaign_daily_retention(f, CAMPAIGN)
         ),
@@ -188,11 +209,11 @@ def product_queries() -> dict[str, Query]:
         ),
         "campaign_vs_neighbours": on_feed(lambda f: retention.campaign_vs_neighbours(f, CAMPAIGN)),
         # Experiments
-        "user_ctr": on_feed(lambda f: ab_users(f, 0, 1, 2, 3)),
-        "group_counts": on_feed(lambda f: experiments.group_counts(ab_users(f, 0, 1, 2, 3))),
+        "user_ctr": on_feed(lambda f: ab_users(f)),
+        "group_counts": on_feed(lambda f: experiments.group_counts(ab_users(f))),
         "split_consistency": on_feed(lambda f: experiments.split_consistency(f, *SPLIT_PERIOD)),
         "split_moved_users": on_feed(lambda f: experiments.split_moved_users(f, *SPLIT_PERIOD)),
-        "pooled_ctr": on_feed(lambda f: experiments.pooled_ctr(ab_users(f, 0, 1, 2, 3))),
+        "pooled_ctr": on_feed(lambda f: experiments.pooled_ctr(ab_users(f))),
         "welch_ttest": on_feed(
             lambda f: experiments.welch_ttest(ab_users(f, 1, 2), "exp_group", "ctr", 1, 2)
         ),

@@ -43,26 +43,23 @@ def poisson1(u: Column) -> Column:
 def sample_indices(size: Column, n: int, *key: Column) -> Column:
     """Array of exactly n different indices out of 0..size-1, every subset equally likely.
 
-    Up to half of the group, indices are drawn with replacement and the first n
-    different ones kept. 2n+50 draws hold n different values with a probability
-    above 1 - 2^-50; should they not, or when more than half is wanted, all
-    indices are put in the order of a draw each and the first n taken. The work
-    per sample is thus proportional to n, not to the size of the group.
+    Floyd's method: for j from size-n to size-1, an index is drawn from 0..j and
+    taken, or j itself if it was taken before. n draws always suffice, whatever the
+    size of the group.
     """
-    drawn = F.transform(
-        F.sequence(F.lit(0), F.lit(2 * n + 49)), lambda j: F.floor(uniform(*key, j) * size)
+    steps = F.transform(
+        F.sequence(F.lit(0), F.lit(n - 1)),
+        lambda k: F.struct(
+            (size - n + k).alias("j"),
+            F.floor(uniform(*key, k) * (size - n + k + 1)).cast("long").alias("drawn"),
+        ),
     )
-    different = F.array_distinct(drawn)
-    ordered = F.sort_array(
-        F.transform(
-            F.sequence(F.lit(0).cast("long"), size - 1),
-            lambda i: F.struct(uniform(*key, i).alias("u"), i.alias("i")),
-        )
+    chosen = F.aggregate(
+        steps,
+        F.array().cast("array<bigint>"),
+        lambda taken, s: F.concat(
+            taken, F.array(F.when(F.array_contains(taken, s["drawn"]), s["j"]).otherwise(s["drawn"]))
+        ),
     )
-    by_order = F.transform(F.slice(ordered, 1, n), lambda pair: pair["i"])
     short = F.concat(F.lit(f"sample of {n} asked from a group of "), size.cast("string"))
-    return (
-        F.when(size < n, F.raise_error(short).cast("array<bigint>"))
-        .when((size >= 2 * n) & (F.size(different) >= n), F.slice(different, 1, n))
-        .otherwise(by_order)
-    )
+    return F.when(size < n, F.raise_error(short).cast("array<bigint>")).otherwise(chosen)

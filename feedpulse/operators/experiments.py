@@ -163,10 +163,11 @@ def aa_resample(
     draws = cells.join(F.broadcast(sizes), "exp_group", "left").select(
         "iteration", "exp_group", F.explode(chosen).alias("position")
     )
-    # Spark takes the draws for as few as there are cells and would broadcast them; the hint
-    # has both sides shuffled by position instead, where every key holds one user.
-    numbered = _numbered(users, bucket_sizes).hint("shuffle_hash")
-    drawn = draws.join(numbered, ["exp_group", "position"])
+    # Both sides are shuffled by position, where every key holds one user. The hash table is
+    # built of the draws, whose number is fixed; the users, however many, are streamed.
+    drawn = _numbered(users, bucket_sizes).join(
+        draws.hint("shuffle_hash"), ["exp_group", "position"]
+    )
     return welch_ttest(drawn, "exp_group", "ctr", a, b, by=["iteration"])
 
 

@@ -95,7 +95,7 @@ def first_action_date(feed: DataFrame, hot_users: int = HOT_USERS, salts: int =
     """Every event with its user's first active date over all sources.
 
     First dates are aggregated per user and joined back to the events. Users that
-    hold more than 1/``hot_users`` of all events get theirs from a broadcast of
+    hold more than 1/``hot_users`` of all events with a user get theirs from a broadcast of
     at most ``hot_users`` rows, and their events are spread over ``salts`` (a power
     of two) join keys instead of meeting in one task. Hot and other users come out of
     the same aggregation, which Spark runs once.
@@ -104,7 +104,7 @@ def first_action_date(feed: DataFrame, hot_users: int = HOT_USERS, salts: int =
     firsts = events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.min("action_time").alias("first_action"), F.count("*").alias("events")
     )
-    all_events = feed.agg(F.count("*")).scalar()
+    all_events = firsts.agg(F.sum("events")).scalar()
     hot = firsts.where(F.col("events") * hot_users > all_events).select(
         "user_id", F.col("first_action").alias("hot_first")
     )

@@ -21,6 +21,9 @@ UNMATCHED = {
     "defaults": {"gender": FEMALE, "age_group": UNDER_25, "os": ""},
     "unknown": {"gender": "unknown", "age_group": "unknown", "os": "unknown"},
 }
+# The os of users who have feed history without one: a missing value filled with 0
+# before the groups are formed, or 'unknown'. Either way it is a group of its own.
+NO_OS = {"defaults": "0", "unknown": "unknown"}
 
 
 def _yesterday(df: DataFrame, as_of: date) -> DataFrame:
@@ -80,10 +83,17 @@ def user_dims(feed: DataFrame, dims: str = "all") -> DataFrame:
     raise ValueError(f"unknown dims {dims!r}; use 'all' or 'latest'")
 
 
-def user_dims_by_day(feed: DataFrame, first: date | None, last: date | None) -> DataFrame:
-    """The dimension values seen on each day; all days together hold those of the history."""
+def dims_with_day(kept: DataFrame | None, feed: DataFrame, first: date | None, last: date) -> DataFrame:
+    """Kept dimension values with those of the days first..last: one row per user and combination.
+
+    ``first_day`` tells when a combination was first seen.
+    """
     labelled = user_demographics(on_days(feed, first, last))
-    return labelled.select(event_day().alias("event_date"), "user_id", *DIMENSIONS).distinct()
+    new = labelled.groupBy("user_id", *DIMENSIONS).agg(F.min(event_day()).alias("first_day"))
+    if kept is None:
+        return new
+    both = kept.select(*new.columns).unionByName(new)
+    return both.groupBy("user_id", *DIMENSIONS).agg(F.min("first_day").alias("first_day"))
 
 
 def message_user_dims(
@@ -112,18 +122,22 @@ def message_user_dims(
     return joined.withColumns(filled)
 
 
-def _stack(feed_part: DataFrame, msg_part: DataFrame) -> DataFrame:
+def _stack(feed_part: DataFrame, msg_part: DataFrame, unmatched: str) -> DataFrame:
     stacked = feed_part.unionByName(msg_part, allowMissingColumns=True)
-    return stacked.na.fill(0, ROLLUP_METRICS)
+    return stacked.na.fill(0, ROLLUP_METRICS).na.fill(NO_OS[unmatched], ["os"])
 
 
-def user_daily_merged(feed_daily: DataFrame, msg_dims: DataFrame) -> DataFrame:
+def user_daily_merged(
+    feed_daily: DataFrame, msg_dims: DataFrame, unmatched: str = "defaults"
+) -> DataFrame:
     """All six metrics per (user, dimensions), 0 where a user was absent from a service.
 
+    A missing os becomes ``NO_OS``.
+
     The inputs hold each key once, so adding up their union equals their full
     outer join with NULLs matching each other, at the price of one shuffle.
     """
-    stacked = _stack(feed_daily, msg_dims)
+    stacked = _stack(feed_daily, msg_dims, unmatched)
     return stacked.groupBy("user_id", *DIMENSIONS).agg(*[total(m) for m in ROLLUP_METRICS])
 
 
@@ -131,7 +145,7 @@ def dimension_rollup(merged: DataFrame, dims: tuple[str, ...] = DIMENSIONS) -> D
     """Sums of the metrics by each single dimension.
 
     ``users_sent`` and ``users_received`` are sums over users, not distinct
-    counts. Users with a NULL dimension value are left out of that dimension.
+    counts. Every user counts in every dimension, so all have the same totals.
 
     The rows are summed to one per combination of values first; only those few
     are then repeated for each dimension.
@@ -139,8 +153,7 @@ def dimension_rollup(merged: DataFrame, dims: tuple[str, ...] = DIMENSIONS) -> D
     cells = merged.groupBy(*dims).agg(*[total(m) for m in ROLLUP_METRICS])
     by_dimension = cells.unpivot(ROLLUP_METRICS, list(dims), "dimension", "dimension_value")
     return (
-        by_dimension.where(F.col("dimension_value").isNotNull())
-        .groupBy("dimension", "dimension_value")
+        by_dimension.groupBy("dimension", "dimension_value")
         .agg(*[total(m) for m in ROLLUP_METRICS])
     )
 
@@ -157,9 +170,12 @@ def daily_rollup_final(
 
     Only sums are wanted, so feed events are added up by dimension straight away
     instead of by user, and the per-user merge of the two services is left out.
+    The feed history that messenger users' dimensions come from ends with that day too,
+    so that a later rerun gives the same rows.
     """
     feed_part = user_demographics(_yesterday(feed, as_of)).groupBy(*DIMENSIONS).agg(likes(), views())
     msg_daily = message_user_daily(msg, as_of)
-    by_user = message_user_dims(msg_daily, feed, unmatched, dims, known_dims)
-    rows = dimension_rollup(_stack(feed_part, by_user.drop("user_id")))
+    history = on_days(feed, None, as_of - days(1))
+    by_user = message_user_dims(msg_daily, history, unmatched, dims, known_dims)
+    rows = dimension_rollup(_stack(feed_part, by_user.drop("user_id"), unmatched))
     return rows.withColumn("event_date", F.lit(as_of - days(1))).select(*DAILY_ROLLUP.fieldNames())

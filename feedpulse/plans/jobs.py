@@ -11,9 +11,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 
 from feedpulse.functions.dates import days
-from feedpulse.operators import alerts, experiments, reports, retention, rollup
+from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup
+from feedpulse.operators.rollup import dims_with_day
 from feedpulse.sources.scratch import stored
-from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write, user_dims_write
+from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write, read_dims, write_dims
+
+BINS = 20
 
 
 def daily_rollup(
@@ -24,35 +27,63 @@ def daily_rollup(
     table: str | None = None,
     dims_path: str | None = None,
 ) -> DataFrame:
-    """Compute the roll-up of the day before ``as_of`` and store it by path and/or table.
+    """Compute the roll-up of the day before ``as_of`` once, store it by path and/or table, hand it back.
 
-    Users' dimensions come from the whole feed history. With ``dims_path`` the days'
-    distinct values are kept there, yesterday's are added, and the history is not
-    read again; ``backfill_dims`` fills the folder once.
+    Users' dimensions come from the feed history up to that day. With ``dims_path``
+    they are kept there, as they were before each day: yesterday's copy and the one
+    new day make today's, and the history is not read again. A missing copy of
+    yesterday is an error; ``backfill_dims`` makes it from the history.
     """
     known = None
     if dims_path is not None:
-        yesterday = as_of - days(1)
-        user_dims_write(rollup.user_dims_by_day(feed, yesterday, yesterday), dims_path)
-        kept = feed.sparkSession.read.parquet(dims_path)
-        known = kept.select("user_id", *rollup.DIMENSIONS).distinct()
-    rows = rollup.daily_rollup_final(feed, msg, as_of, known_dims=known)
+        spark, yesterday = feed.sparkSession, as_of - days(1)
+        today = dims_with_day(read_dims(spark, dims_path, yesterday), feed, yesterday, yesterday)
+        write_dims(today, dims_path, as_of)
+        known = read_dims(spark, dims_path, as_of).select("user_id", *rollup.DIMENSIONS)
+    rows = stored(rollup.daily_rollup_final(feed, msg, as_of, known_dims=known), "daily-rollup")
     if path is not None:
-        daily_rollup_write(rows, path)
+        daily_rollup_write(rows, path, event_date=as_of - days(1))
     if table is not None:
-        daily_rollup_save(rows, table)
+        daily_rollup_save(rows, table, event_date=as_of - days(1))
     return rows
 
 
 def backfill_dims(feed: DataFrame, as_of: date, dims_path: str) -> None:
     """Store the dimension values of all days before ``as_of``."""
-    user_dims_write(rollup.user_dims_by_day(feed, None, as_of - days(1)), dims_path)
+    write_dims(dims_with_day(None, feed, None, as_of - days(1)), dims_path, as_of)
+
+
+def check_alerts(
+    feed: DataFrame, as_of_ts: datetime, a: float = 4, n: int = 6, msg: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Alerts for the last closed bucket before ``as_of_ts``, and the bands for their charts.
+
+    With messages, CTR, messenger users and messages sent are checked as well.
+    """
+    if msg is None:
+        series, metrics = alerts.activity_15min(feed, as_of_ts), alerts.FEED_METRICS
+    else:
+        series, metrics = alerts.activity_15min_full(feed, msg, as_of_ts), alerts.ALL_METRICS
+    bands = stored(alerts.iqr_bands(series, metrics, a, n), "bands")
+    return {"alerts": alerts.anomaly_alerts(bands), "bands": bands}
+
+
+def weekly_report(feed: DataFrame, as_of: date) -> dict[str, DataFrame]:
+    """New, retained and gone users by week, and the cohorts of both sources."""
+    results = {"status": retention.weekly_activity_status(feed, as_of)}
+    for source, digits in (("ads", 1), ("organic", 2)):
+        results[f"retention_{source}"] = retention.weekly_retention(feed, source)
+        results[f"percent_{source}"] = retention.weekly_retention_percent(feed, source, digits)
+    return results
 
 
-def check_alerts(feed: DataFrame, as_of_ts: datetime, a: float = 4, n: int = 6) -> DataFrame:
-    """Alerts for the last closed bucket before ``as_of_ts``."""
-    series = alerts.activity_15min(feed, as_of_ts)
-    return alerts.anomaly_alerts(alerts.iqr_bands(series, a=a, n=n))
+def dashboard_tables(feed: DataFrame, msg: DataFrame, as_of: date) -> dict[str, DataFrame]:
+    """What the three dashboards show."""
+    return {
+        "comparison": dashboards.operational_comparison(feed, msg, as_of),
+        "audience": dashboards.audience_breakdown(feed),
+        "overlap": dashboards.service_overlap_daily(feed, msg),
+    }
 
 
 def feed_report(feed: DataFrame, as_of: date) -> dict[str, DataFrame]:
@@ -101,6 +132,7 @@ def aa_report(
         "split": experiments.split_consistency(feed, start, end),
         "pvalues": pvalues,
         "pass_rate": experiments.aa_pass_rate(pvalues),
+        "histogram": experiments.metric_histogram(pvalues, "p_value", BINS),
     }
 
 
@@ -115,11 +147,17 @@ def ab_report(
 ) -> dict[str, DataFrame]:
     """A/B comparison: pooled CTR, Welch test, Poisson bootstrap and linearized likes."""
     uc = stored(experiments.user_ctr(feed, start, end, [control, target]), "user-ctr")
-    boot = experiments.poisson_bootstrap(uc, control, target, reps, seed)
+    boot = stored(experiments.poisson_bootstrap(uc, control, target, reps, seed), "bootstrap")
+    linearized = experiments.linearized_likes(uc, control)
     return {
         "counts": experiments.group_counts(uc),
         "pooled": experiments.pooled_ctr(uc),
         "ttest": experiments.welch_ttest(uc, "exp_group", "ctr", control, target),
         "bootstrap": experiments.bootstrap_summary(boot, control, target),
         "linearized": experiments.linearized_ttest(uc, control, target),
+        "ctr_histogram": experiments.metric_histogram(uc, "ctr", BINS, "exp_group"),
+        "bootstrap_histogram": experiments.metric_histogram(boot, "ctr", BINS, "exp_group"),
+        "linearized_histogram": experiments.metric_histogram(
+            linearized, "linearized_likes", BINS, "exp_group"
+        ),
     }

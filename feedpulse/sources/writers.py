@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,25 +22,42 @@ def write_actions(df: DataFrame, path: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy(DAY_PARTITION).parquet(path)
 
 
-def daily_rollup_write(rollup: DataFrame, path: str, mode: str = "overwrite_day") -> None:
+def daily_rollup_write(
+    rollup: DataFrame, path: str, mode: str = "overwrite_day", event_date: date | None = None
+) -> None:
     """Store roll-up rows under ``path``, one folder per ``event_date``.
 
-    ``overwrite_day`` replaces only the days present in ``rollup``, so a rerun or
-    a retry leaves one copy; ``append`` adds the rows again.
+    ``overwrite_day`` replaces the day ``event_date``, also by nothing if it has become
+    empty, or without one the days present in ``rollup``; so a rerun or a retry
+    leaves one copy. ``append`` adds the rows again.
     """
-    writer = rollup.select(*DAILY_ROLLUP.fieldNames()).write.partitionBy("event_date")
-    if mode == "overwrite_day":
+    rows = rollup.select(*DAILY_ROLLUP.fieldNames())
+    if mode == "overwrite_day" and event_date is not None:
+        day = rows.where(F.col("event_date") == F.lit(event_date)).drop("event_date")
+        day.write.mode("overwrite").parquet(f"{path}/event_date={event_date}")
+    elif mode == "overwrite_day":
+        writer = rows.write.partitionBy("event_date")
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
     elif mode == "append":
-        writer.mode("append").parquet(path)
+        rows.write.partitionBy("event_date").mode("append").parquet(path)
     else:
         raise ValueError(f"unknown mode {mode!r}; use 'overwrite_day' or 'append'")
 
 
-def user_dims_write(dims: DataFrame, path: str) -> None:
-    """Store the dimension values of some days (``user_dims_by_day``), replacing those days."""
-    writer = dims.hint("rebalance", DAY_PARTITION).write.partitionBy(DAY_PARTITION)
-    writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+def write_dims(dims: DataFrame, path: str, as_of: date) -> None:
+    """Store users' dimension values as known at the start of ``as_of``, replacing that copy.
+
+    Earlier copies stay for reruns; whoever keeps the folder removes old ones.
+    """
+    dims.write.mode("overwrite").parquet(f"{path}/as_of={as_of}")
+
+
+def read_dims(spark: SparkSession, path: str, as_of: date) -> DataFrame:
+    """The copy ``write_dims`` made for ``as_of``; a missing one is an error."""
+    try:
+        return spark.read.parquet(f"{path}/as_of={as_of}")
+    except AnalysisException as error:
+        raise ValueError(f"no dimension values of the days before {as_of} in {path}; backfill them") from error
 
 
 def daily_rollup_create(spark: SparkSession, table: str) -> None:
@@ -48,9 +68,12 @@ def daily_rollup_create(spark: SparkSession, table: str) -> None:
     )
 
 
-def daily_rollup_save(rollup: DataFrame, table: str) -> None:
-    """Put the roll-up into a catalog table, replacing the days it contains."""
-    daily_rollup_create(rollup.sparkSession, table)
+def daily_rollup_save(rollup: DataFrame, table: str, event_date: date | None = None) -> None:
+    """Put the roll-up into a catalog table, replacing ``event_date`` or else the days it contains."""
+    spark = rollup.sparkSession
+    daily_rollup_create(spark, table)
+    if event_date is not None:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = DATE '{event_date}')")
     # insertInto goes by position, and a partitioned table keeps its partition column last.
     names = [name for name in DAILY_ROLLUP.fieldNames() if name != "event_date"]
     writer = rollup.select(*names, F.col("event_date")).write

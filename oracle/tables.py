@@ -1,4 +1,4 @@
-"""The action tables over ``events``, as common table expressions (see feedpulse/sources/sample.py)."""
+"""The action tables over ``events``, as common table expressions (see oracle/sample.py)."""
 
 TABLES = """
 WITH dated AS (

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedpulse.functions.dates import days
 from feedpulse.plans import jobs
 from feedpulse.sources.readers import read_actions, read_actions_table, stream_actions
 from feedpulse.streaming.activity import anomaly_alerts_stream
@@ -28,19 +29,32 @@ def arguments() -> argparse.Namespace:
     day = date.fromisoformat
     rollup = command("daily-rollup", "roll-up of the day before --as-of", messages=True)
     rollup.add_argument("--as-of", type=day, required=True)
-    rollup.add_argument("--dims", help="folder that keeps the users' dimension values by day")
-    rollup.add_argument("--backfill", action="store_true", help="fill --dims from the history first")
-    alerts = command("alerts", "alerts for the last closed bucket before --as-of")
+    rollup.add_argument("--dims", help="folder that keeps the users' dimension values")
+    rollup.add_argument("--backfill", action="store_true", help="make yesterday's --dims from the history first")
+    alerts = command("alerts", "alerts for the last closed bucket before --as-of, and their bands")
     alerts.add_argument("--as-of", type=datetime.fromisoformat, required=True)
-    command("feed-report", "feed report").add_argument("--as-of", type=day, required=True)
-    service = command("service-report", "whole-service report", messages=True)
-    service.add_argument("--as-of", type=day, required=True)
+    alerts.add_argument("--messages", help="message_actions, to check all six metrics")
+    alerts.add_argument("--a", type=float, default=4, help="width of the band in quartile ranges")
+    alerts.add_argument("--n", type=int, default=6, help="earlier buckets a band rests on")
+    for name, help, messages in (
+        ("feed-report", "feed report", False),
+        ("service-report", "whole-service report", True),
+        ("weekly", "weekly status and retention", False),
+        ("dashboards", "tables behind the dashboards", True),
+    ):
+        command(name, help, messages).add_argument("--as-of", type=day, required=True)
     command("campaign", "campaign retention").add_argument("--date", type=day, required=True)
     for name in ("aa", "ab"):
         test = command(name, f"{name.upper()} test")
         test.add_argument("--from", dest="first", type=day, required=True)
         test.add_argument("--to", dest="last", type=day, required=True)
         test.add_argument("--groups", type=int, nargs=2, required=True, metavar=("A", "B"))
+        test.add_argument("--seed", type=int, default=42)
+        if name == "aa":
+            test.add_argument("--n", type=int, default=250, help="users drawn from either group")
+            test.add_argument("--iters", type=int, default=10_000, help="tests")
+        else:
+            test.add_argument("--reps", type=int, default=2_000, help="bootstrap replicates")
     stream = command("alert-stream", "check every bucket of a stream of files as it closes")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--every", help="processing time, e.g. '15 minutes'; else work off the backlog")
@@ -50,7 +64,11 @@ def arguments() -> argparse.Namespace:
 def main() -> None:
     args = arguments()
     builder = SparkSession.builder.appName(f"feedpulse-{args.job}")
-    spark = builder.config("spark.ui.enabled", "false").getOrCreate()
+    builder = builder.config("spark.ui.enabled", "false")
+    if args.job == "alert-stream":
+        provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        builder = builder.config("spark.sql.streaming.stateStore.providerClass", provider)
+    spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def read(name: str, path: str) -> DataFrame:
@@ -70,23 +88,32 @@ def main() -> None:
     results: dict[str, DataFrame] = {}
     if args.job == "daily-rollup":
         if args.backfill:
-            jobs.backfill_dims(feed, args.as_of, args.dims)
+            jobs.backfill_dims(feed, args.as_of - days(1), args.dims)
         messages = read("message_actions", args.messages)
         jobs.daily_rollup(feed, messages, args.as_of, path=args.out, dims_path=args.dims)
     elif args.job == "alerts":
-        results = {"alerts": jobs.check_alerts(feed, args.as_of)}
+        msg = read("message_actions", args.messages) if args.messages else None
+        results = jobs.check_alerts(feed, args.as_of, args.a, args.n, msg)
     elif args.job == "feed-report":
         results = jobs.feed_report(feed, args.as_of)
     elif args.job == "service-report":
         results = jobs.service_report(feed, read("message_actions", args.messages), args.as_of)
+    elif args.job == "weekly":
+        results = jobs.weekly_report(feed, args.as_of)
+    elif args.job == "dashboards":
+        results = jobs.dashboard_tables(feed, read("message_actions", args.messages), args.as_of)
     elif args.job == "campaign":
         results = jobs.campaign_report(feed, args.date)
     elif args.job == "aa":
-        results = jobs.aa_report(feed, args.first, args.last, *args.groups)
+        results = jobs.aa_report(
+            feed, args.first, args.last, *args.groups, args.n, args.iters, args.seed
+        )
     elif args.job == "ab":
-        results = jobs.ab_report(feed, args.first, args.last, *args.groups)
+        results = jobs.ab_report(feed, args.first, args.last, *args.groups, args.reps, args.seed)
+    # Each run has a folder of its own, so that a run replaces only its own results.
+    run = next(getattr(args, x) for x in ("as_of", "date", "last") if hasattr(args, x))
     for name, df in results.items():
-        df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+        df.write.mode("overwrite").parquet(f"{args.out}/{name}/run={run:%Y-%m-%dT%H-%M}")
 
 
 if __name__ == "__main__":

@@ -61,13 +61,13 @@ def _row(schema, second, row):
 
 @pytest.fixture(scope="session")
 def sample_feed(spark):
-    from feedpulse.sources.sample import feed_actions
+    from oracle.sample import feed_actions
 
     return feed_actions(spark, SMALL).cache()
 
 
 @pytest.fixture(scope="session")
 def sample_messages(spark):
-    from feedpulse.sources.sample import message_actions
+    from oracle.sample import message_actions
 
     return message_actions(spark, SMALL).cache()

@@ -46,6 +46,26 @@ def test_p_value_against_the_finite_series(spark):
         assert r.p == pytest.approx(t_tail(r.t, int(r.d)), abs=1e-9), (r.t, r.d)
 
 
+def small_tail(t, dof):
+    """Two-sided p of a large t by Simpson's rule on the density relative to its value at t, in logs."""
+    log_density = lambda x: -(dof + 1) / 2 * math.log1p(x * x / dof)
+    whole = math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2) - 0.5 * math.log(dof * math.pi)
+    # In x = t * exp(y), the tail falls off at least as exp(-y * dof).
+    n, top = 20_000, 60 / min(dof, (dof + 1) * t * t / (dof + t * t))
+    at = lambda y: math.exp(log_density(t * math.exp(y)) - log_density(t) + y) * t
+    h = top / n
+    total = sum((1 if i in (0, n) else 4 if i % 2 else 2) * at(i * h) for i in range(n + 1)) * h / 3
+    return 2 * total * math.exp(whole + log_density(t))
+
+
+def test_small_p_values_keep_their_relative_accuracy(spark):
+    cases = [(8.9, 1e6), (9.5, 1e6), (21.0, 1e6), (30.0, 200.0), (12.0, 58.0), (40.0, 30.0), (200.0, 3.5), (20.0, 1e9)]
+    df = spark.createDataFrame(cases, "t double, d double")
+    for r in df.select("t", "d", two_sided_p(F.col("t"), F.col("d")).alias("p")).collect():
+        assert r.p == pytest.approx(small_tail(r.t, r.d), rel=1e-6), (r.t, r.d)
+        assert r.p > 1e-100
+
+
 def test_p_value_with_fractional_dof_and_missing_input(spark):
     df = spark.sql("SELECT * FROM VALUES (1.5D, 1.3D), (-1.5D, 1.3D), (NULL, 3D), (1D, NULL) AS v(t, d)")
     p = [r.p for r in df.select(two_sided_p(F.col("t"), F.col("d")).alias("p")).collect()]

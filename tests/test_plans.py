@@ -107,7 +107,7 @@ def test_jobs_run(spark, stored, tmp_path):
     feed, msg = stored
     path = str(tmp_path / "rollup")
     assert jobs.daily_rollup(feed, msg, AS_OF, path=path).count() == spark.read.parquet(path).count()
-    assert jobs.check_alerts(feed, registered.AS_OF_TS).count() == 0
+    assert jobs.check_alerts(feed, registered.AS_OF_TS)["alerts"].count() == 0
     assert jobs.feed_report(feed, AS_OF)["row"].count() == 1
     assert jobs.service_report(feed, msg, AS_OF)["rows"].count() == 8
     assert jobs.campaign_report(feed, registered.CAMPAIGN)["retention"].count() > 0

@@ -62,16 +62,20 @@ def test_changed_attribute_repeats_the_user(make_feed, make_messages):
         rollup.user_dims(feed, "newest")
 
 
-def test_null_os_matches_itself_and_is_left_out_of_its_dimension(make_feed, make_messages):
+def test_null_os_matches_itself_and_is_a_value_of_its_own(make_feed, make_messages):
     feed = make_feed((1, "like", DAY, {"os": None}))
     dims = rollup.message_user_dims(rollup.message_user_daily(make_messages((1, 1, DAY)), AS_OF), feed)
     merged = rollup.user_daily_merged(rollup.feed_user_daily(feed, AS_OF), dims)
     assert rows(merged, "user_id", "likes", "messages_sent") == [(1, 1, 1)]
-    assert {r.dimension for r in rollup.dimension_rollup(merged).collect()} == {"gender", "age_group"}
+    by_os = rollup.dimension_rollup(merged).where("dimension = 'os'")
+    assert rows(by_os, "dimension_value", "likes", "messages_sent") == [("0", 1, 1)]
+    unknown = rollup.user_daily_merged(rollup.feed_user_daily(feed, AS_OF), dims, unmatched="unknown")
+    assert rows(unknown, "os") == [("unknown",)]
 
 
 def test_final_equals_the_steps_and_every_dimension_has_the_same_total(sample_feed, sample_messages):
-    feed = sample_feed.fillna("none", ["os"])
+    feed = sample_feed
+    assert feed.where("os IS NULL AND time >= TIMESTAMP '2024-01-30'").count()
     by_user = rollup.message_user_dims(rollup.message_user_daily(sample_messages, AS_OF), feed)
     merged = rollup.user_daily_merged(rollup.feed_user_daily(feed, AS_OF), by_user)
     final = rollup.daily_rollup_final(feed, sample_messages, AS_OF)
@@ -108,6 +112,28 @@ def test_catalog_table_is_created_and_replaced_by_day(spark, make_feed, make_mes
     assert rows(spark.table("daily_rollup"), *columns) == rows(final, *columns)
 
 
+def test_empty_rerun_leaves_nothing(spark, tmp_path, make_feed, make_messages):
+    path, names = str(tmp_path / "rollup"), DAILY_ROLLUP.fieldNames()
+    feed, msg = make_feed((1, "like", DAY)), make_messages((1, 2, DAY))
+    first = jobs.daily_rollup(feed, msg, AS_OF, path=path, table="rerun_rollup")
+    assert rows(spark.read.schema(DAILY_ROLLUP).parquet(path), *names) == rows(first, *names) != []
+    assert jobs.daily_rollup(feed.limit(0), msg.limit(0), AS_OF, path=path, table="rerun_rollup").count() == 0
+    assert spark.read.schema(DAILY_ROLLUP).parquet(path).count() == 0
+    assert spark.table("rerun_rollup").count() == 0
+
+
+def test_first_event_on_the_day_of_the_run_counts_in_no_mode(tmp_path, make_feed, make_messages):
+    feed = make_feed((9, "view", EARLIER), (1, "view", "2024-01-31 00:10", {"age": 30}))
+    msg, dims_path = make_messages((1, 1, DAY)), str(tmp_path / "dims")
+    with pytest.raises(ValueError, match="2024-01-30"):
+        jobs.daily_rollup(feed, msg, AS_OF, dims_path=dims_path)
+    jobs.backfill_dims(feed, date(2024, 1, 30), dims_path)
+    names = DAILY_ROLLUP.fieldNames()
+    want = rows(rollup.daily_rollup_final(feed, msg, AS_OF), *names)
+    assert rows(jobs.daily_rollup(feed, msg, AS_OF, dims_path=dims_path), *names) == want
+    assert {r[2] for r in want} == {"female", "below 25", ""}
+
+
 def test_kept_dimensions_give_the_same_rollup(tmp_path, sample_feed, sample_messages):
     dims_path = str(tmp_path / "dims")
     jobs.backfill_dims(sample_feed, date(2024, 1, 30), dims_path)
