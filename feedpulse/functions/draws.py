@@ -22,18 +22,20 @@ def uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(draw_key(*parts), 11).cast("double") * F.lit(2.0**-53)
 
 
-def poisson1_cdf(top: int = 17) -> list[float]:
-    """P(X <= k) for k = 0..top with X ~ Poisson(1)."""
+def poisson_cdf(mean: int) -> list[float]:
+    """P(X <= k) for k = 0, 1, ... with X ~ Poisson(mean), up to what 53 bits can tell from 1."""
     cdf, acc = [], 0.0
-    for k in range(top + 1):
-        acc += math.exp(-1.0) / math.factorial(k)
+    for k in range(1_000):
+        acc += math.exp(-mean) * mean**k / math.factorial(k)
         cdf.append(acc)
+        if k > mean and math.exp(-mean) * mean**k / math.factorial(k) < 2.0**-54:
+            break
     return cdf
 
 
-def poisson1(u: Column) -> Column:
-    """Poisson(1) weight of a uniform draw, by the inverse distribution function."""
-    cdf = poisson1_cdf()
+def poisson(u: Column, mean: int) -> Column:
+    """Poisson weight of a uniform draw, by the inverse distribution function."""
+    cdf = poisson_cdf(mean)
     weight = F.when(u < cdf[0], F.lit(0))
     for k, bound in enumerate(cdf[1:], start=1):
         weight = weight.when(u < bound, F.lit(k))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedpulse.functions.dates import days, event_day, on_any_day
+from feedpulse.functions.dates import days, event_day, on_any_day, on_days
 from feedpulse.functions.measures import ctr_percent, likes, pct_change, total, views
 from feedpulse.operators.reports import in_feed, in_messenger, service_user_days
 from feedpulse.operators.rollup import user_demographics
@@ -48,13 +48,18 @@ def operational_comparison(feed: DataFrame, msg: DataFrame, as_of: date) -> Data
     return compared.withColumn("change_percent", change)
 
 
-def audience_breakdown(feed: DataFrame) -> DataFrame:
+def audience_breakdown(
+    feed: DataFrame, first: date | None = None, last: date | None = None
+) -> DataFrame:
     """Daily active users, likes and views in total and by each user attribute.
 
+    A day's rows depend on that day alone, so a table of them can be kept and
+    extended by the days ``first`` to ``last``; without them, all days are worked out.
     Events are first added up per day, user and attribute values; only those rows
     are repeated for the dimensions.
     """
-    labelled = user_demographics(feed.withColumn("date", event_day()))
+    events = on_days(feed, first, last)
+    labelled = user_demographics(events.withColumn("date", event_day()))
     user_days = labelled.groupBy("date", "user_id", *BREAKDOWNS).agg(likes(), views())
     rows = user_days.withColumn("total", F.lit("all")).unpivot(
         ["date", "user_id", "likes", "views"],

@@ -13,13 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedpulse.functions.dates import on_days
-from feedpulse.functions.draws import draw_key, poisson1, sample_indices, uniform
+from feedpulse.functions.draws import draw_key, poisson, sample_indices, uniform
 from feedpulse.functions.measures import likes, ratio, views
 from feedpulse.functions.student import two_sided_p, welch
 
 # Number of pieces a group's users are numbered in, a power of two; fixed, so that
 # the numbering does not depend on the cluster.
 NUMBERING_BUCKETS = 4_096
+# Users with equal counts that share one bootstrap weight.
+ALIKE = 16
 
 
 def _slots(spark: SparkSession) -> int:
@@ -210,19 +212,37 @@ def poisson_bootstrap(
 ) -> DataFrame:
     """Pooled CTR of either group with Poisson(1) user weights, for every replicate.
 
-    A user's weights are hashes of (seed, group, user, replicate). The weighted
-    rows exist only inside the map side of the aggregation; what is shuffled is
-    one partial sum per task, replicate and group. The users are spread over all
-    tasks by their key before they are expanded, since the per-user table alone
+    Users of a group with equal likes and views are interchangeable, and the sum
+    of m such weights is a Poisson(m) one. So users are counted by (group, likes,
+    views) first; ``ALIKE`` of them at a time get one weight, and those left over one each.
+    What is drawn thus grows with the different counts, and by a small part with
+    the users. A weight is a hash of (seed, group, likes, views, how many, which, replicate).
+
+    The weighted rows exist only inside the map side of the aggregation; what is
+    shuffled is one partial sum per task, replicate and group. They are spread over all tasks
+    by their key before they are expanded, since the table of counts alone
     may be small enough for Spark to merge it into a few partitions.
     """
-    key = draw_key(F.lit(seed), F.col("exp_group"), F.col("user_id")).alias("key")
-    users = uc.where(F.col("exp_group").isin(a, b)).select("exp_group", "likes", "views", key)
-    spread = users.repartition(_slots(uc.sparkSession), "key")
-    replicates = F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("replicate")
-    weighted = spread.select("exp_group", "likes", "views", "key", replicates).withColumn(
-        "weight", poisson1(uniform(F.col("key"), F.col("replicate")))
+    users = uc.where(F.col("exp_group").isin(a, b)).groupBy("exp_group", "likes", "views")
+    counted = users.agg(F.count("*").alias("users"))
+
+    def parts(size: int, number: Column) -> Column:
+        one = lambda i: F.struct(F.lit(size).alias("size"), i.alias("which"))
+        return F.filter(F.transform(F.sequence(F.lit(0).cast("long"), number), one), lambda x: x["which"] < number)
+
+    together, rest = F.floor(F.col("users") / ALIKE), F.col("users") % ALIKE
+    part = F.explode(F.concat(parts(ALIKE, together), parts(1, rest)))
+    weighted_by = draw_key(
+        F.lit(seed), *[F.col(c) for c in ("exp_group", "likes", "views", "size", "which")]
+    )
+    drawn = counted.select("exp_group", "likes", "views", part.alias("part")).select(
+        "exp_group", "likes", "views", "part.*"
     )
+    spread = drawn.withColumn("key", weighted_by).repartition(_slots(uc.sparkSession), "key")
+    replicates = F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("replicate")
+    u = uniform(F.col("key"), F.col("replicate"))
+    weight = F.when(F.col("size") == 1, poisson(u, 1)).otherwise(poisson(u, ALIKE))
+    weighted = spread.select("exp_group", "likes", "views", "size", "key", replicates).withColumn("weight", weight)
     sums = weighted.groupBy("replicate", "exp_group").agg(
         F.sum(F.col("weight") * F.col("likes")).alias("likes"),
         F.sum(F.col("weight") * F.col("views")).alias("views"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,9 +61,20 @@ def read_actions_jdbc(
 def stream_actions(
     spark: SparkSession, name: str, path: str, format: str = "parquet", **options: str
 ) -> DataFrame:
-    """A folder that keeps receiving files, as a stream with the declared schema."""
+    """A folder that keeps receiving files, as a stream.
+
+    Files that carry their schema are read with the one that is there when the stream starts, so
+    that a known misspelling is renamed and a missing column is an error, as for
+    tables. A folder without files, and formats without a schema, have the declared one.
+    """
     schema = ACTION_TABLES[name]
-    return spark.readStream.format(format).schema(schema).options(**options).load(path)
+    if format in ("parquet", "orc"):
+        try:
+            schema = spark.read.format(format).options(**options).load(path).schema
+        except AnalysisException:
+            pass  # nothing there yet
+    stream = spark.readStream.format(format).schema(schema).options(**options).load(path)
+    return conform(stream, ACTION_TABLES[name])
 
 
 def with_event_time(df: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_created: list[str] = []
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder the session names in ``spark.checkpoint.dir``.
@@ -19,7 +21,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="feedpulse-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _created.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, wherever it is; a missing one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is missing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(place)] if files.exists(place) else []
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all scratch files this process has made. For the end of a job, when results are stored."""
+    while _created:
+        remove(spark, _created.pop())
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -18,6 +18,7 @@ from feedpulse.operators.alerts import (
     context_rows,
 )
 from feedpulse.sources.readers import with_event_time
+from feedpulse.sources.scratch import entries, remove
 
 LATENESS = "30 minutes"
 
@@ -81,26 +82,30 @@ def anomaly_alerts_stream(
 ) -> StreamingQuery:
     """Check every bucket when it closes and store the anomalous ones under ``path``/alerts.
 
-    Each micro-batch k writes three small folders, each its own ``batch_id=k``:
-    its buckets (``series``), the alerts among them (``alerts``), and the latest
-    buckets a later decision may need (``recent``), which batch k+1 reads. A batch
-    that is run again after a failure reads the same input and replaces its own
-    folders, so nothing is stored twice, and no batch has to look through history.
+    The buckets go to ``series`` and the alerts among them to ``alerts``, by date and
+    micro-batch; a batch that is run again after a failure reads the same input and
+    replaces what it wrote. The latest buckets, which a later decision may need, are
+    handed on in ``recent``: batch k reads what k-1 left, and only the last two
+    copies are kept. So no batch has to look through history. A path that holds
+    another run's batches is refused.
+
+    Events later than ``lateness`` are left out for good; ``jobs.check_alerts`` on the
+    stored events, which reads two whole days, is what to compare with.
     """
 
-    def folder(table: str, batch_id: int) -> str:
-        return f"{path}/{table}/batch_id={batch_id}"
+    def recent(batch_id: int) -> str:
+        return f"{path}/recent/batch_id={batch_id}"
 
     def store(rows: DataFrame, table: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(folder(table, batch_id))
+        own = rows.withColumn("batch_id", F.lit(batch_id)).write.partitionBy("date", "batch_id")
+        own.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{path}/{table}")
 
-    def check(batch: DataFrame, batch_id: int) -> None:
-        # At most 96 rows for each day the batch covers; used several times.
-        batch = batch.persist()
-        known = batch
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        spark, known = batch.sparkSession, batch
         if batch_id > 0:
-            recent = batch.sparkSession.read.schema(SERIES).parquet(folder("recent", batch_id - 1))
-            known = batch.unionByName(recent)
+            known = batch.unionByName(spark.read.schema(SERIES).parquet(recent(batch_id - 1)))
+        elif set(entries(spark, f"{path}/recent")) - {"batch_id=0"}:
+            raise ValueError(f"{path} holds another run's results; use its checkpoint or another path")
         at = F.struct("date", "minutes")
         first = batch.agg(F.min(at).alias("at")).first()["at"]
         if first is not None:
@@ -109,8 +114,16 @@ def anomaly_alerts_stream(
             store(batch, "series", batch_id)
             store(own.where("is_alert"), "alerts", batch_id)
         latest = known.orderBy(F.desc("date"), F.desc("minutes")).limit(context_rows(n))
-        store(latest, "recent", batch_id)
-        batch.unpersist()
+        latest.write.mode("overwrite").parquet(recent(batch_id))
+        remove(spark, recent(batch_id - 2))
+
+    def check(batch: DataFrame, batch_id: int) -> None:
+        # At most 96 rows for each day the batch covers; used several times.
+        batch = batch.persist()
+        try:
+            judge(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = activity_15min_stream(stream, lateness).writeStream.outputMode("append")
     return start(writer.foreachBatch(check), checkpoint, processing_time)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedpulse.functions.dates import days
 from feedpulse.plans import jobs
 from feedpulse.sources.readers import read_actions, read_actions_table, stream_actions
+from feedpulse.sources.scratch import clear
 from feedpulse.streaming.activity import anomaly_alerts_stream
 
 
@@ -114,6 +115,7 @@ def main() -> None:
     run = next(getattr(args, x) for x in ("as_of", "date", "last") if hasattr(args, x))
     for name, df in results.items():
         df.write.mode("overwrite").parquet(f"{args.out}/{name}/run={run:%Y-%m-%dT%H-%M}")
+    clear(spark)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from feedpulse.functions.draws import poisson1, sample_indices, uniform
+from feedpulse.functions.draws import poisson, sample_indices, uniform
 from feedpulse.functions.student import two_sided_p
 from feedpulse.operators import experiments as ex
 
@@ -130,7 +130,7 @@ def test_every_index_is_drawn_equally_often(spark):
 
 
 def test_poisson_weights(spark):
-    weights = spark.range(100_000).select(poisson1(uniform(F.col("id"))).alias("w"))
+    weights = spark.range(100_000).select(poisson(uniform(F.col("id")), 1).alias("w"))
     r = weights.agg(F.avg("w"), F.var_samp("w"), F.count_if(F.col("w") == 0)).first()
     assert r[0] == pytest.approx(1, abs=0.02) and r[1] == pytest.approx(1, abs=0.03)
     assert r[2] / 100_000 == pytest.approx(math.exp(-1), abs=0.01)
@@ -192,3 +192,13 @@ def test_histogram(spark):
     assert got == [(1, 0, 2), (1, 1, 2)]
     same = spark.createDataFrame([(3.0,), (3.0,)], "v double")
     assert [(r.bin, r["count"]) for r in ex.metric_histogram(same, "v", 4).collect()] == [(0, 2)]
+
+
+def test_users_alike_share_weights(spark):
+    """1,000 equal users and one who differs: the number of draws is small, the distribution that of users."""
+    rows = [(g, i, 2, 10) for g in (0, 1) for i in range(1_000)] + [(0, 5_000, 900, 0)]
+    uc = spark.createDataFrame(rows, "exp_group int, user_id long, likes long, views long")
+    boot = ex.poisson_bootstrap(uc, 0, 1, reps=2_000).toPandas()
+    assert (boot[boot.exp_group == 1].ctr.round(9) == 0.2).all()
+    other = (boot[boot.exp_group == 0].ctr - 0.2) * 10_000 / 900  # about Poisson(1)
+    assert other.mean() == pytest.approx(1, abs=0.1) and other.var() == pytest.approx(1, abs=0.2)

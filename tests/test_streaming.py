@@ -1,10 +1,12 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from feedpulse.operators import alerts
 from feedpulse.sources.readers import stream_actions
+from feedpulse.sources.scratch import clear, entries, stored
 from feedpulse.streaming import activity
 
 
@@ -78,3 +80,37 @@ def test_late_events_are_dropped_after_the_watermark(spark, make_feed, tmp_path)
         activity.activity_15min_to_table(stream, out, checkpoint).awaitTermination()
     got = as_rows(spark.read.parquet(out), "minutes", "dau")
     assert got == [("10:00", 1), ("12:00", 1)]
+
+
+def test_a_used_path_is_refused_and_old_copies_go(spark, arriving, tmp_path):
+    _, steps, incoming = arriving
+    path, checkpoint = str(tmp_path / "alerts"), str(tmp_path / "checkpoint")
+    for step in steps[:4]:
+        step.write.mode("append").parquet(incoming)
+        stream = stream_actions(spark, "feed_actions", incoming)
+        activity.anomaly_alerts_stream(stream, path, checkpoint, a=0.5).awaitTermination()
+    assert len(entries(spark, f"{path}/recent")) == 2
+    assert all(x.startswith(("date=", "_")) for x in entries(spark, f"{path}/series"))
+    stream = stream_actions(spark, "feed_actions", incoming)
+    with pytest.raises(StreamingQueryException, match="another run"):
+        activity.anomaly_alerts_stream(stream, path, str(tmp_path / "fresh")).awaitTermination()
+
+
+def test_stream_reader_knows_the_misspelled_receiver(spark, make_messages, tmp_path):
+    incoming, out = str(tmp_path / "in"), str(tmp_path / "out")
+    make_messages((1, 2, "2024-01-30")).withColumnRenamed("receiver_id", "reciever_id").write.parquet(incoming)
+    stream = stream_actions(spark, "message_actions", incoming)
+    query = stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    query.format("parquet").option("path", out).start().awaitTermination()
+    assert as_rows(spark.read.parquet(out), "receiver_id") == [(2,)]
+    make_messages((1, 2, "2024-01-30")).drop("receiver_id").write.parquet(str(tmp_path / "lacking"))
+    with pytest.raises(ValueError, match="receiver_id"):
+        stream_actions(spark, "message_actions", str(tmp_path / "lacking"))
+
+
+def test_scratch_is_empty_after_clearing(spark, make_feed):
+    frame = stored(make_feed((1, "view", "2024-01-30")), "some")
+    path = frame.inputFiles()[0].rsplit("/", 1)[0]
+    assert entries(spark, path)
+    clear(spark)
+    assert entries(spark, path) == []
