@@ -24,7 +24,7 @@ def read_actions_csv(spark: SparkSession, name: str, path: str, **options: str)
     declared types; a value that cannot be cast fails the job.
     """
     schema = ACTION_TABLES[name]
-    raw = conform(spark.read.options(header=True, **options).csv(path), schema)
+    raw = conform(spark.read.options(header=True, **options).csv(path), schema, typed=False)
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 

@@ -56,12 +56,15 @@ DAILY_ROLLUP = T.StructType(
 RECEIVER_ALIASES = {"reciever_id": "receiver_id"}
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rename known misspellings; fail early on missing columns and on a ``time`` that isn't one."""
+def conform(df: DataFrame, schema: T.StructType, typed: bool = True) -> DataFrame:
+    """Rename known misspellings; fail early on missing columns and on a ``time`` that isn't one.
+
+    ``typed=False`` is for text that is still to be cast.
+    """
     df = df.withColumnsRenamed(RECEIVER_ALIASES)
     missing = [field.name for field in schema if field.name not in df.columns]
     if missing:
         raise ValueError(f"input lacks the columns {missing}; it has {df.columns}")
-    if not isinstance(df.schema["time"].dataType, (T.TimestampType, T.TimestampNTZType)):
+    if typed and not isinstance(df.schema["time"].dataType, (T.TimestampType, T.TimestampNTZType)):
         raise ValueError(f"time must be a timestamp, not {df.schema['time'].dataType.simpleString()}")
     return df

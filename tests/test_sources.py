@@ -78,3 +78,10 @@ def test_scratch_space_is_where_the_session_says(tmp_path):
     root = Path(__file__).resolve().parent.parent
     out = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True)
     assert out.stdout.strip().splitlines()[-1].startswith(f"{tmp_path}/x-")
+
+
+def test_a_time_of_text_is_refused(spark, make_feed, tmp_path):
+    path = str(tmp_path / "text-time")
+    make_feed((1, "view", "2024-01-30")).withColumn("time", F.col("time").cast("string")).write.parquet(path)
+    with pytest.raises(ValueError, match="time must be a timestamp"):
+        read_actions(spark, "feed_actions", path)
