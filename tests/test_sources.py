@@ -4,6 +4,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from feedpulse.functions.dates import on_any_day, on_days
 from feedpulse.operators import rollup
@@ -84,4 +85,4 @@ def test_a_time_of_text_is_refused(spark, make_feed, tmp_path):
     path = str(tmp_path / "text-time")
     make_feed((1, "view", "2024-01-30")).withColumn("time", F.col("time").cast("string")).write.parquet(path)
     with pytest.raises(ValueError, match="time must be a timestamp"):
-        read_actions(spark, "feed_actions", path)
+        readers.read_actions(spark, "feed_actions", path)
