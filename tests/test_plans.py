@@ -59,7 +59,16 @@ def test_single_scans(stored):
 def test_draws_are_not_broadcast(stored):
     feed, _ = stored
     aa = experiments.user_ctr(feed, date(2024, 1, 15), date(2024, 1, 21), [2, 3])
-    assert "ShuffledHashJoin" in final_plan(experiments.aa_resample(aa, 2, 3, n=8, iters=20))
+    text = final_plan(experiments.aa_resample(aa, 2, 3, n=8, iters=20))
+    # The hash table is built of the draws, on the right.
+    assert "ShuffledHashJoin" in text and "BuildRight" in text.split("ShuffledHashJoin", 1)[1].split("\n")[0]
+
+
+def test_histogram_reuses_its_inputs_shuffle(stored):
+    feed, _ = stored
+    ab = experiments.user_ctr(feed, date(2024, 1, 22), date(2024, 1, 28), [1, 2])
+    text = final_plan(experiments.metric_histogram(ab, "ctr", 20, "exp_group"))
+    assert "ReusedExchange" in text or text.count("FileScan") == 1
 
 
 def test_bootstrap_expands_on_all_tasks(stored):
