@@ -103,7 +103,7 @@ def streamed_alerts(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "alerts-stream")
     query = activity.anomaly_alerts_stream(feed, base, f"{base}/checkpoint")
     query.awaitTermination()
-    return rounded(spark.read.parquet(f"{base}/alerts").drop("batch_id"))
+    return rounded(spark.read.parquet(f"{base}/alerts").drop("month", "batch_id"))
 
 
 def aa_users(feed: DataFrame, *groups: int) -> DataFrame:

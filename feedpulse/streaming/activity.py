@@ -82,7 +82,7 @@ def anomaly_alerts_stream(
 ) -> StreamingQuery:
     """Check every bucket when it closes and store the anomalous ones under ``path``/alerts.
 
-    The buckets go to ``series`` and the alerts among them to ``alerts``, by date and
+    The buckets go to ``series`` and the alerts among them to ``alerts``, by month and
     micro-batch; a batch that is run again after a failure reads the same input and
     replaces what it wrote. The latest buckets, which a later decision may need, are
     handed on in ``recent``: batch k reads what k-1 left, and only the last two
@@ -97,7 +97,10 @@ def anomaly_alerts_stream(
         return f"{path}/recent/batch_id={batch_id}"
 
     def store(rows: DataFrame, table: str, batch_id: int) -> None:
-        own = rows.withColumn("batch_id", F.lit(batch_id)).write.partitionBy("date", "batch_id")
+        # A few rows for each bucket: one file a month.
+        month = F.date_format("date", "yyyy-MM")
+        marked = rows.withColumns({"month": month, "batch_id": F.lit(batch_id)}).coalesce(1)
+        own = marked.write.partitionBy("month", "batch_id")
         own.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{path}/{table}")
 
     def judge(batch: DataFrame, batch_id: int) -> None:

@@ -90,7 +90,7 @@ def test_a_used_path_is_refused_and_old_copies_go(spark, arriving, tmp_path):
         stream = stream_actions(spark, "feed_actions", incoming)
         activity.anomaly_alerts_stream(stream, path, checkpoint, a=0.5).awaitTermination()
     assert len(entries(spark, f"{path}/recent")) == 2
-    assert all(x.startswith(("date=", "_")) for x in entries(spark, f"{path}/series"))
+    assert all(x.startswith(("month=", "_")) for x in entries(spark, f"{path}/series"))
     stream = stream_actions(spark, "feed_actions", incoming)
     with pytest.raises(StreamingQueryException, match="another run"):
         activity.anomaly_alerts_stream(stream, path, str(tmp_path / "fresh")).awaitTermination()
