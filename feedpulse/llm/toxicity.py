@@ -9,8 +9,8 @@ automaton of all strings within one edit; the product's states are built as
 texts need them, and most words leave it after two or three letters.
 
 Matches count by their context: within quotation marks, or soon after a word of
-reporting, they are quotation, otherwise abuse. A logistic model over the few
-sums of weights gives the score.
+reporting, they are quotation, otherwise abuse. A logistic model over a few sums
+of weights, the matches' number and their rate gives the score.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ LEAST_G = 24.0
 PURITY = 9
 #: Words around a match that make up its window, and words before it searched for reporting.
 WINDOW, BEFORE = 25, 4
+#: Sums and counts that the model weighs, and words added to a text's length in a rate.
+FEATURES, ADDED_WORDS = 6, 50
 WORD = re.compile(r"\w+")
 #: Words that introduce what somebody else said.
 REPORTING = set(
@@ -294,12 +296,15 @@ class Scorer:
         ]
 
     def features(self, text: bytes) -> list[float]:
-        """Sums of weights: of different terms as abuse, as quotation, the densest window, and spelled wrongly."""
+        """Sums of weights (of different terms as abuse, as quotation, the densest window, spelled wrongly), matches, rate.
+
+        Chance matches grow in number with a text's length; the rate of matches as abuse tells them apart.
+        """
         string = text.decode("utf-8", "replace").lower()
         words = WORD.findall(string)
         hits = self.hits(words)
         if not hits:
-            return [0.0, 0.0, 0.0, 0.0]
+            return [0.0] * FEATURES
         places = [m.start() for m in WORD.finditer(string)]
         quotes = [m.span() for m in QUOTED.finditer(string)] if len(hits) else []
         abuse, quotation, wrong = {}, {}, {}
@@ -325,7 +330,8 @@ class Scorer:
                 total -= open_hits[start][1]
                 start += 1
             densest = max(densest, total)
-        sums = [sum(abuse.values()), sum(quotation.values()), densest, sum(wrong.values())]
+        rate = 1000 * len(open_hits) / (len(words) + ADDED_WORDS)
+        sums = [sum(abuse.values()), sum(quotation.values()), densest, sum(wrong.values()), len(open_hits), rate]
         return [math.log1p(x) for x in sums]
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -376,7 +382,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     """
     rows = labelled_sample(docs, labels, sample)
     lexicon = learn_lexicon(rows)
-    flat = np.zeros(5)
+    flat = np.zeros(FEATURES + 1)
     flat[-1] = -3.0
     scorer = Scorer(lexicon, set(), flat)
     if not lexicon:
@@ -404,7 +410,7 @@ def scored(docs: DataFrame, scorer: Scorer, text: str = "text", name: str = "sco
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def make(texts: list[bytes]) -> list[pa.Array]:
-        features = np.array([sent.value.features(t) for t in texts]).reshape(len(texts), 4)
+        features = np.array([sent.value.features(t) for t in texts]).reshape(len(texts), FEATURES)
         return [pa.array(sent.value.score(features))]
 
     return added(docs, text, f"`{name}` double", make)

@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +118,12 @@ def test_tables(spark, messy, clashing, learned):
     assert kept.columns == clashing.columns and kept.count() == clashing.count()
     nulls = spark.createDataFrame([(None, 1, 1), (1, None, None)], "doc_id long, quality int, toxic int")
     assert tox.toxicity(messy, nulls).count() == messy.count()
+
+
+def test_a_match_weighs_less_in_a_long_text():
+    scorer = tox.Scorer({"blargh": 5.0}, set(), np.zeros(tox.FEATURES + 1))
+    short, long = (scorer.features(b"blargh " + b"calm " * n) for n in (20, 2000))
+    assert short[:5] == long[:5] and short[5] > long[5] > 0
+    quoted = scorer.features(b'"blargh" ' + b"calm " * 20)
+    assert quoted[4] == quoted[5] == 0
+    assert scorer.features(b"") == [0.0] * tox.FEATURES
