@@ -88,12 +88,24 @@ def mentions(text: str) -> list[Mention]:
         start, end = m.span()
         if kind == "secret" and (inner := SECRET_VALUE.search(value)):
             start, end = m.start() + inner.start(1), m.start() + inner.end(1)
+            if masked(text[start:end]):
+                continue
         elif kind == "card" and not 13 <= sum(c.isdigit() for c in value) <= 19:
             continue
         found.append(Mention(start, end, kind, canonical(kind, text[start:end])))
     return found
 
 
+def replaceable(value: str) -> bool:
+    """Whether a value has a letter or digit, for which another one can stand."""
+    return any(c.isdigit() or c.isalpha() for c in value)
+
+
+def masked(value: str) -> bool:
+    """Whether a secret was made unreadable already, as by stars: one or two different marks throughout."""
+    return not replaceable(value) and len(set(value)) <= 2
+
+
 def _name_words(value: str, start: int) -> list[Mention]:
     title = max((t for t in TITLE_OF if value.startswith(t + " ")), key=len)
     words = [(w.start() + len(title), w.group()) for w in re.finditer(r"\S+", value[len(title) :])]
@@ -135,6 +147,8 @@ class Stream:
 
 
 LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+#: What secrets of marks alone are drawn from.
+MARKS = "!#$%&()*+-./:<=>?@[]^_{|}~"
 LETTERS_OF = {
     "cyrillic": ("абвгдежзиклмнопрстуфхцчшэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"),
     "latin": (LOWER, UPPER),
@@ -192,6 +206,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         number = "".join(str(int(c, 36)) for c in body + entity[:2] + "00")
         return f"{entity[:2]}{98 - int(number) % 97:02d}{body}"
     if kind == "secret":
+        if not replaceable(entity):
+            return "".join(s.of(MARKS) for _ in entity)
         kept = 4 if entity[:4] in ("AKIA", "ASIA") else 0
         return entity[:kept] + _like(s, entity[kept:], hexadecimal=not kept)
     script, gender = script_of(entity), kind.removeprefix("given_") if kind != "family" else ""

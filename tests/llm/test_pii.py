@@ -98,3 +98,14 @@ def test_tables(messy, clashing):
     assert pii.with_surrogates(messy.limit(0), KEY).collect() == []
     kept = pii.with_surrogates(clashing, KEY, counted=None)
     assert kept.columns == clashing.columns
+
+
+def test_secrets_without_letters_and_digits(spark, make_docs):
+    masked = "Don't write password: ******** or token = ------"
+    assert rewrite(masked) == masked
+    new = rewrite("password: !#%&/()=? 1")
+    assert re.fullmatch(r"password: [^\w\s]{9} 1", new) and new != "password: !#%&/()=? 1"
+    docs = make_docs((1, masked), (2, "password: !#%&/()=? 1"), (3, "token = ------ at 10.1.2.3"))
+    rows = {r["doc_id"]: r for r in pii.with_surrogates(docs, KEY).collect()}
+    assert [rows[i]["n_entities"] for i in (1, 2, 3)] == [0, 1, 1]
+    assert rows[1]["text"] == masked and rows[3]["text"].startswith("token = ------ at 10.")
