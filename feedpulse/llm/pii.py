@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,10 +51,12 @@ TITLE_OF = {title: gender for gender, titles in TITLES.items() for title in titl
 TITLE_PATTERN = "|".join(sorted((re.escape(t) for t in TITLE_OF), key=len, reverse=True))
 NAME_WORD = r"(?:[^\W\d_a-zß-öø-ÿа-я][^\W\d_]+(?:-[^\W\d_]+)?|[A-ZА-Я]\.)"
 
+KEY_WORDS = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
+
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<secret>(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
-    r"|(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b\"?)\s*[:=]\s*(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"',;]{6,}))"
+    rf"|\b{KEY_WORDS}\b\"?\s*[:=]\s*(?:\"[^\"\s]{{6,}}\"|'[^'\s]{{6,}}'|[^\s\"',;]{{6,}}))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
     r"|(?P<card>(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-]))"
@@ -61,7 +64,8 @@ PATTERN = re.compile(
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\w))"
     rf"|(?P<person>(?<!\w)(?:{TITLE_PATTERN}) (?:{NAME_WORD})(?: {NAME_WORD}){{0,2}})"
 )
-DIGIT_OR_AT = re.compile(r"[0-9@]")
+DIGIT_OR_AT = re.compile(r"[\d@]")
+SECRET_KEY = re.compile(KEY_WORDS)
 SECRET_VALUE = re.compile(r"[:=]\s*[\"']?([^\s\"']+)")
 
 
@@ -75,9 +79,20 @@ class Mention:
     entity: str
 
 
+def may_mention(text: str) -> bool:
+    """Whether a text has anything that ``PATTERN`` cannot do without."""
+    return bool(
+        DIGIT_OR_AT.search(text)
+        or any(t in text for t in TITLE_OF)
+        or "AKIA" in text
+        or "ASIA" in text
+        or ((":" in text or "=" in text) and SECRET_KEY.search(text))
+    )
+
+
 def mentions(text: str) -> list[Mention]:
     """All entities of a text in order; a name gives one for each of its words."""
-    if not DIGIT_OR_AT.search(text) and not any(t in text for t in TITLE_OF):
+    if not may_mention(text):
         return []
     found = []
     for m in PATTERN.finditer(text):
@@ -120,7 +135,7 @@ def _name_words(value: str, start: int) -> list[Mention]:
 def canonical(kind: str, value: str) -> str:
     """The form in which two ways of writing an entity are equal."""
     if kind in ("phone", "card", "ssn"):
-        return "".join(c for c in value if c.isdigit())
+        return "".join(str(decimal(c)) for c in value if c.isdigit())
     if kind == "iban":
         return value.replace(" ", "")
     return value.casefold() if kind == "email" else value
