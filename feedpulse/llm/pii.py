@@ -6,7 +6,8 @@ digits where the original had them, names of the same gender and script. An
 entity has one surrogate wherever and however it is written, and two entities
 never share one: the different entities of the whole table are counted by
 surrogate, and all but one of those that meet, or that hit a real entity, are
-hashed again until none do. What was hashed again goes along as a broadcast up to
+hashed again until none do, later from wider spaces, so that no number of entities
+fills them. What was hashed again goes along as a broadcast up to
 a checked number, else through a join.
 """
 
@@ -16,6 +17,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from ipaddress import IPv6Address
 from unicodedata import decimal
 
 import pyarrow as pa
@@ -26,6 +28,10 @@ from feedpulse.llm.arrow import as_bytes, clear_of, slices
 from feedpulse.sources.scratch import stored
 
 ROUNDS = 50
+#: Attempts in the usual space of surrogates, and attempts until it is widened once more.
+USUAL, WIDENED = 6, 2
+#: Fewest digits of a phone number with its country code.
+PHONE_DIGITS = 7
 BROADCAST_ENTITIES = 100_000
 
 #: Titles by the gender they tell ("" for none).
@@ -94,9 +100,9 @@ def mentions(text: str) -> list[Mention]:
     """All entities of a text in order; a name gives one for each of its words."""
     if not may_mention(text):
         return []
-    found = []
-    for m in PATTERN.finditer(text):
-        kind, value = m.lastgroup, m.group()
+    found, at = [], 0
+    while m := PATTERN.search(text, at):
+        kind, value, at = m.lastgroup, m.group(), m.end()
         if kind == "person":
             found += _name_words(value, m.start())
             continue
@@ -107,6 +113,9 @@ def mentions(text: str) -> list[Mention]:
                 continue
         elif kind == "card" and not 13 <= sum(c.isdigit() for c in value) <= 19:
             continue
+        elif kind == "phone" and sum(c.isdigit() for c in value) < PHONE_DIGITS:
+            at = start + 1
+            continue
         found.append(Mention(start, end, kind, canonical(kind, text[start:end])))
     return found
 
@@ -195,38 +204,49 @@ def luhn_sum(digits: str) -> int:
     return sum(d - 9 if d > 9 else d for d in doubled)
 
 
+def widened(attempt: int) -> int:
+    """How often the space of surrogates has been widened at an attempt."""
+    return max(0, attempt - USUAL + WIDENED) // WIDENED
+
+
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
-    """The surrogate for an entity's comparable form, of the same kind and shape."""
+    """The surrogate for an entity's comparable form, of the same kind and shape.
+
+    A space of surrogates may be full; later attempts get characters more, one every few attempts.
+    """
     s = Stream(key, kind, entity, attempt)
+    more = widened(attempt)
     if kind == "email":
         local, _, domain = entity.rpartition("@")
         labels = domain.split(".")
-        return f"{_like(s, local)}@{'.'.join([*(_like(s, x) for x in labels[:-1]), labels[-1]])}"
+        return f"{_like(s, local + more * 'x')}@{'.'.join([*(_like(s, x) for x in labels[:-1]), labels[-1]])}"
     if kind == "ip":
         octets = entity.split(".")
-        kept = 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] else 0
+        if more > 1:
+            return str(IPv6Address((0xFD << 120) + s.pick(1 << 120)))
+        kept = 0 if more else 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] else 0
         return ".".join([*octets[:kept], *(str(1 + s.pick(254)) for _ in octets[kept:])])
     if kind == "card":
-        digits = entity[0] + _like(s, entity[1:])
+        digits = entity[0] + _like(s, entity[1:] + more * "0")
         if luhn_sum(entity) % 10 == 0:
             digits = digits[:-1] + str(-luhn_sum(digits[:-1] + "0") % 10)
         return digits
     if kind == "phone":
         # The first digit (of the country code, or of the area) stays.
-        return entity[0] + _like(s, entity[1:])
+        return entity[0] + _like(s, entity[1:] + more * "0")
     if kind == "ssn":
-        return "9" + _like(s, entity[1:])
+        return "9" + _like(s, entity[1:] + more * "0")
     if kind == "iban":
-        body = _like(s, entity[4:])
+        body = _like(s, entity[4:] + more * "0")
         number = "".join(str(int(c, 36)) for c in body + entity[:2] + "00")
         return f"{entity[:2]}{98 - int(number) % 97:02d}{body}"
     if kind == "secret":
         if not replaceable(entity):
-            return "".join(s.of(MARKS) for _ in entity)
+            return "".join(s.of(MARKS) for _ in entity + more * "!")
         kept = 4 if entity[:4] in ("AKIA", "ASIA") else 0
-        return entity[:kept] + _like(s, entity[kept:], hexadecimal=not kept)
+        return entity[:kept] + _like(s, entity[kept:], hexadecimal=not kept) + _like(s, more * "0")
     script, gender = script_of(entity), kind.removeprefix("given_") if kind != "family" else ""
-    middle = "".join(s.of(SYLLABLES[script]) for _ in range(2 + s.pick(2)))
+    middle = "".join(s.of(SYLLABLES[script]) for _ in range(2 + s.pick(2) + more))
     return middle + s.of(ENDINGS[script, gender])
 
 
@@ -234,10 +254,10 @@ def written(kind: str, original: str, made: str) -> str:
     """A surrogate in the way in which the original was written."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(made)
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join([*(next(digits) if c.isdigit() else c for c in original), *digits])
     if kind == "iban":
         letters = iter(made)
-        return "".join(c if c == " " else next(letters) for c in original)
+        return "".join([*(c if c == " " else next(letters) for c in original), *letters])
     if kind == "email":
         return "".join(m.upper() if o.isupper() else m for o, m in zip(original, made, strict=True)) if len(original) == len(made) else made
     if kind == "family" or kind.startswith("given_"):

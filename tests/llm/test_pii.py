@@ -128,3 +128,47 @@ def test_digits_of_other_scripts():
     own = "٤٠٤١ ٨٩٤٩ ٧٤٦٠ ٨٧٩٥"
     assert own not in rewrite(f"card {own}.")
     assert rewrite(f"card {own}.") == rewrite("card 4041 8949 7460 8795.")
+
+
+def settled_without_spark(kind, entities):
+    """Attempts as ``pii.attempts`` makes them, in plain Python; entities with their surrogates."""
+    real, out, pending = set(entities), {}, sorted(entities)
+    for attempt in range(pii.ROUNDS):
+        left = []
+        for entity in pending:
+            made = pii.surrogate(KEY, kind, entity, attempt)
+            if made in real or made in out:
+                left.append(entity)
+            else:
+                out[made] = entity
+        if not left:
+            return out
+        pending = left
+    return None
+
+
+@pytest.mark.parametrize(
+    ("kind", "entities"),
+    [
+        ("phone", [f"1{i:06}" for i in range(0, 1_000_000, 10)] + [f"1{i:06}" for i in range(0, 600_000)]),
+        ("ip", [f"192.168.{i}.{j}" for i in range(256) for j in range(256)]),
+        ("secret", [c + "-----" for c in "abcdefghijklmnopqrstuvwxyz"]),
+        ("email", ["-@-.com", "+@-.com"]),
+    ],
+)
+def test_every_entity_settles(kind, entities):
+    out = settled_without_spark(kind, set(entities))
+    assert out is not None and len(out) == len(set(entities))
+
+
+def test_surrogates_of_later_attempts():
+    assert len({pii.surrogate(KEY, "family", "smith", i) for i in range(pii.ROUNDS)}) == pii.ROUNDS
+    assert pii.written("phone", "+1 953 555 98", "195355598123") == "+1 953 555 98123"
+    iban = pii.surrogate(KEY, "iban", "DE89370400440532013000", 20)
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert pii.luhn_sum(pii.surrogate(KEY, "card", "4539578763621486", 20)) % 10 == 0
+
+
+def test_short_numbers_are_no_phones():
+    assert rewrite("a gain of +15000 and +1 500 points") == "a gain of +15000 and +1 500 points"
+    assert "44.161.181.40" not in rewrite("up +15 at 44.161.181.40")
