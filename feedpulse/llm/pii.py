@@ -3,8 +3,9 @@
 Patterns find the entities. Each gets a surrogate of its type, made from a keyed
 hash: letters for letters, digits for digits, the same punctuation, valid check
 digits where the original had them, names of the same gender and script. An
-entity has one surrogate wherever and however it is written, and two entities
-never share one: the different entities of the whole table are counted by
+entity has one surrogate wherever and however it is written; a word of a name has
+one as given and as family name and with any title, also where the name is
+mentioned again without one in the same text. Two entities never share one: the different entities of the whole table are counted by
 surrogate, and all but one of those that meet, or that hit a real entity, are
 hashed again until none do, later from wider spaces, so that no number of entities
 fills them. What was hashed again goes along as a broadcast up to
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from ipaddress import IPv6Address
@@ -64,14 +66,20 @@ PATTERN = re.compile(
     r"|(?P<secret>(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
     rf"|\b{KEY_WORDS}\b\"?\s*[:=]\s*(?:\"[^\"\s]{{6,}}\"|'[^'\s]{{6,}}'|[^\s\"',;]{{6,}}))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
+    r"|(?P<ip6>(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:]|\.\d))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
-    r"|(?P<card>(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-]))"
+    r"|(?P<card>(?<![\w-])(?:\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\w))"
+    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\w)"
+    # National numbers: French pairs, German area and number, American with dots.
+    r"|(?<![\w+.,/-])(?:0[1-9](?:[ .-]?\d{2}){4}|\(0[1-9]\d{1,3}\) ?\d{3,4}(?:[ -]?\d{1,4}){1,2}"
+    r"|0[1-9]\d{1,3}[ /-]\d{3,4}(?:[ -]?\d{1,4}){1,2}|\d{3}\.\d{3}\.\d{4})(?![\w/-]|[.,]\d))"
     rf"|(?P<person>(?<!\w)(?:{TITLE_PATTERN}) (?:{NAME_WORD})(?: {NAME_WORD}){{0,2}})"
 )
 DIGIT_OR_AT = re.compile(r"[\d@]")
 SECRET_KEY = re.compile(KEY_WORDS)
+CAPITALISED = re.compile(r"(?<!\w)[^\W\d_a-zß-öø-ÿа-я][^\W\d_]+(?:-[^\W\d_]+)*(?!\w)")
 SECRET_VALUE = re.compile(r"[:=]\s*[\"']?([^\s\"']+)")
 
 
@@ -116,8 +124,46 @@ def mentions(text: str) -> list[Mention]:
         elif kind == "phone" and sum(c.isdigit() for c in value) < PHONE_DIGITS:
             at = start + 1
             continue
+        elif kind == "ip6":
+            kind = "ip"
+            try:
+                IPv6Address(text[start:end])
+            except ValueError:
+                at = start + 1
+                continue
         found.append(Mention(start, end, kind, canonical(kind, text[start:end])))
-    return found
+    return _with_later_names(text, found)
+
+
+def is_name(kind: str) -> bool:
+    return kind == "family" or kind.startswith("given_")
+
+
+def rank(kind: str) -> int:
+    """Which kind a word of a name is, if it has several: given and of a gender first, family last."""
+    return 2 if kind in ("given_m", "given_f") else 1 if kind == "given_" else 0
+
+
+def _with_later_names(text: str, found: list[Mention]) -> list[Mention]:
+    """``found`` with the other mentions of its names' words, a word of one kind throughout."""
+    counts = Counter((m.entity, m.kind) for m in found if is_name(m.kind))
+    if not counts:
+        return found
+    kinds: dict[str, str] = {}
+    for entity, kind in sorted(counts, key=lambda x: (rank(x[1]), counts[x], x[1])):
+        kinds[entity] = kind
+    out, at = [], 0
+    for m in [*found, Mention(len(text), len(text), "", "")]:
+        for word in CAPITALISED.finditer(text, at, m.start):
+            whole = word.group().casefold()
+            parts = [word] if whole in kinds else re.compile(r"[^-]+").finditer(text, *word.span())
+            for part in parts:
+                entity = part.group().casefold()
+                if entity in kinds:
+                    out.append(Mention(*part.span(), kinds[entity], entity))
+        out.append(Mention(m.start, m.end, kinds[m.entity], m.entity) if is_name(m.kind) else m)
+        at = m.end
+    return out[:-1]
 
 
 def replaceable(value: str) -> bool:
@@ -147,6 +193,8 @@ def canonical(kind: str, value: str) -> str:
         return "".join(str(decimal(c)) for c in value if c.isdigit())
     if kind == "iban":
         return value.replace(" ", "")
+    if kind == "ip" and ":" in value:
+        return str(IPv6Address(value))
     return value.casefold() if kind == "email" else value
 
 
@@ -220,6 +268,11 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         local, _, domain = entity.rpartition("@")
         labels = domain.split(".")
         return f"{_like(s, local + more * 'x')}@{'.'.join([*(_like(s, x) for x in labels[:-1]), labels[-1]])}"
+    if kind == "ip" and ":" in entity:
+        # The first group tells what an address is for.
+        groups = IPv6Address(entity).exploded.split(":")
+        made = [f"{1 + s.pick(0xFFFF):04x}" if more or int(g, 16) else g for g in groups[1:]]
+        return str(IPv6Address(":".join([groups[0], *made])))
     if kind == "ip":
         octets = entity.split(".")
         if more > 1:
@@ -260,19 +313,20 @@ def written(kind: str, original: str, made: str) -> str:
         return "".join([*(c if c == " " else next(letters) for c in original), *letters])
     if kind == "email":
         return "".join(m.upper() if o.isupper() else m for o, m in zip(original, made, strict=True)) if len(original) == len(made) else made
-    if kind == "family" or kind.startswith("given_"):
+    if is_name(kind):
         return made.upper() if original.isupper() and len(original) > 1 else made.capitalize()
     return made
 
 
-def replaced(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
-    """The text with its surrogates, and how many there are."""
+def replaced(text: str, key: bytes, attempts: dict[tuple[str, str], tuple[str, int]]) -> tuple[str, int]:
+    """The text with its surrogates, and how many there are; ``attempts`` has the kind and attempt of some entities."""
     found = mentions(text)
     if not found:
         return text, 0
     parts, at = [], 0
     for m in found:
-        made = surrogate(key, m.kind, m.entity, attempts.get((m.kind, m.entity), 0))
+        kind, attempt = attempts.get((m.kind, m.entity), (m.kind, 0))
+        made = surrogate(key, kind, m.entity, attempt)
         parts += [text[at : m.start], written(m.kind, text[m.start : m.end], made)]
         at = m.end
     return "".join([*parts, text[at:]]), len(found)
@@ -323,24 +377,38 @@ def _with_surrogates(rows: DataFrame, key: bytes) -> DataFrame:
     )
 
 
+def space(kind: str):
+    """What entities share as the space of their surrogates: the kind, one for all names."""
+    name = (F.col(kind) == "family") | F.col(kind).startswith("given_")
+    return F.when(name, "name").otherwise(F.col(kind)).alias("space")
+
+
+def one_kind_each(known: DataFrame) -> DataFrame:
+    """(kind, entity, as): the kind that an entity has throughout the table, by the mentions ``n`` of each kind."""
+    ranks = F.when(F.col("kind").isin("given_m", "given_f"), 2).when(F.col("kind") == "given_", 1).otherwise(0)
+    best = F.max(F.struct(ranks.alias("rank"), "n", "kind"))["kind"].alias("as")
+    grouped = known.groupBy(space("kind"), "entity").agg(F.collect_set("kind").alias("kinds"), best)
+    return grouped.select(F.explode("kinds").alias("kind"), "entity", "as")
+
+
 def attempts(known: DataFrame, key: bytes) -> DataFrame:
     """(kind, entity, attempt, made) for the different entities, no two of a kind with the same surrogate
-    and none with a real entity of the kind as its surrogate."""
-    real = known.select("kind", F.col("entity").alias("made"))
+    and none with a real entity of the kind as its surrogate; all names count as one kind."""
+    real = known.select(space("kind"), F.col("entity").alias("made"))
     settled = None
     pending = known.withColumn("attempt", F.lit(0))
     for _ in range(ROUNDS):
-        tried = stored(_with_surrogates(pending, key), "surrogates")
-        first = tried.groupBy("kind", "made").agg(F.min("entity").alias("entity"))
-        first = first.join(real, ["kind", "made"], "left_anti")
+        tried = stored(_with_surrogates(pending, key).withColumn("space", space("kind")), "surrogates")
+        first = tried.groupBy("space", "made").agg(F.min("entity").alias("entity"))
+        first = first.join(real, ["space", "made"], "left_anti")
         if settled is not None:
-            first = first.join(settled.select("kind", "made"), ["kind", "made"], "left_anti")
-        good = stored(tried.join(first.select("kind", "entity"), ["kind", "entity"], "left_semi"), "settled")
+            first = first.join(settled.select("space", "made"), ["space", "made"], "left_anti")
+        good = stored(tried.join(first.select("space", "entity"), ["space", "entity"], "left_semi"), "settled")
         settled = good if settled is None else settled.unionByName(good)
-        left = tried.join(good.select("kind", "entity"), ["kind", "entity"], "left_anti")
+        left = tried.join(good.select("space", "entity"), ["space", "entity"], "left_anti")
         pending = stored(left.select("kind", "entity", (F.col("attempt") + 1).alias("attempt")), "pending")
         if pending.isEmpty():
-            return settled
+            return settled.drop("space")
     raise RuntimeError("too few surrogates of some kind for the entities; use another key or wider names")
 
 
@@ -353,12 +421,16 @@ def with_surrogates(
     as they were. Repeated rows get the same text. Other columns are kept; one
     with the name of ``counted`` gives way.
     """
-    known = stored(entities(docs, text).distinct(), "entities")
-    again = stored(attempts(known, key).where("attempt > 0").select("kind", "entity", "attempt"), "again")
+    known = entities(docs, text).groupBy("kind", "entity").agg(F.count("*").alias("n"))
+    known = stored(one_kind_each(known), "entities")
+    tried = attempts(known.select(F.col("as").alias("kind"), "entity").distinct(), key).where("attempt > 0")
+    tried = tried.select(F.col("kind").alias("as"), "entity", "attempt")
+    again = known.join(tried, ["as", "entity"], "left").fillna(0, "attempt").where("attempt > 0 OR as <> kind")
+    again = stored(again.select("kind", "entity", "as", "attempt"), "again")
     redo = clear_of(docs, "redo")
-    kind = "array<struct<kind:string,entity:string,attempt:int>>"
+    kind = "array<struct<kind:string,entity:string,as:string,attempt:int>>"
     if again.count() <= bound:
-        sent = {(r["kind"], r["entity"]): r["attempt"] for r in again.collect()}
+        sent = {(r["kind"], r["entity"]): (r["as"], r["attempt"]) for r in again.collect()}
         marked = docs.withColumn(redo, F.lit(None).cast(kind))
     else:
         sent, number = {}, clear_of(docs, "row")
@@ -367,7 +439,7 @@ def with_surrogates(
             entities(whole, text, number)
             .join(again, ["kind", "entity"])
             .groupBy(F.col("row").alias(number))
-            .agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias(redo))
+            .agg(F.collect_set(F.struct("kind", "entity", "as", "attempt")).alias(redo))
         )
         marked = whole.join(of_row, number, "left").drop(number)
     kept = [c for c in docs.columns if counted is None or c.lower() != counted.lower()]
@@ -388,7 +460,7 @@ def with_surrogates(
                         texts.append(None)
                         counts.append(0)
                         continue
-                    mine = {(x["kind"], x["entity"]): x["attempt"] for x in own} if own else shared.value
+                    mine = {(x["kind"], x["entity"]): (x["as"], x["attempt"]) for x in own} if own else shared.value
                     new, n = replaced(_decoded(value), key, mine)
                     texts.append(new if n else value)
                     counts.append(n)

@@ -172,3 +172,53 @@ def test_surrogates_of_later_attempts():
 def test_short_numbers_are_no_phones():
     assert rewrite("a gain of +15000 and +1 500 points") == "a gain of +15000 and +1 500 points"
     assert "44.161.181.40" not in rewrite("up +15 at 44.161.181.40")
+
+
+def test_later_mentions_of_a_name():
+    new = rewrite("Smith was late. Mr John Smith came. Smith's coat, SMITH-led talks; a smith and John.")
+    words = re.findall(r"\w+", new)
+    family, given = words[5], words[4]
+    assert new == (
+        f"{family} was late. Mr {given} {family} came. {family}'s coat, {family.upper()}-led talks; a smith and {given}."
+    )
+    assert not {"Smith", "John", "SMITH"} & set(words)
+    assert rewrite("John came and Smith went.") == "John came and Smith went."
+    one, two = re.fullmatch(r"Mr (\w+) \w+ met Dr (\w+) \w+\.", rewrite("Mr John Smith met Dr John Miller.")).groups()
+    assert one == two and one.endswith(("rik", "ton", "nus", "ward"))
+
+
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_a_name_has_one_surrogate_in_all_texts(spark, make_docs, bound):
+    docs = make_docs((1, "Dr John Smith"), (2, "Mr John Miller"), (3, "Mr John"), (4, "Prof. John Miller, Miller"))
+    rows = {r["doc_id"]: r["text"].replace(",", "").split() for r in pii.with_surrogates(docs, KEY, bound=bound).collect()}
+    assert len({rows[i][1] for i in (1, 2, 3, 4)}) == 1 and rows[1][1].endswith(("rik", "ton", "nus", "ward"))
+    assert rows[2][2] == rows[4][2] == rows[4][3] != rows[1][2]
+
+
+@pytest.mark.parametrize(
+    ("text", "shape"),
+    [
+        ("tel 06 12 34 56 78 x", r"tel 0\d( \d\d){4} x"),
+        ("tel 06.12.34.56.78, x", r"tel 0\d(\.\d\d){4}, x"),
+        ("tel 030 1234567.", r"tel 0\d\d \d{7}\."),
+        ("tel 0171/1234567 x", r"tel 0\d{3}/\d{7} x"),
+        ("tel (030) 123 4567 x", r"tel \(0\d\d\) \d{3} \d{4} x"),
+        ("tel 555.123.4567.", r"tel 5\d\d\.\d{3}\.\d{4}\."),
+        ("at 2001:db8::8a2e:370:7334 x", r"at 2001:[0-9a-f:]+ x"),
+        ("at 2001:0DB8:0:0:0:8a2e:370:7334.", r"at 2001:[0-9a-f:]+\."),
+        ("card 3782 822463 10005 x", r"card 3\d{3} \d{6} \d{5} x"),
+    ],
+)
+def test_more_ways_of_writing(text, shape):
+    new = rewrite(text)
+    assert re.fullmatch(shape, new) and new != text
+
+
+def test_ways_of_writing_an_address():
+    a, b = rewrite("2001:db8::8a2e:370:7334 2001:0DB8:0:0:0:8a2e:370:7334").split()
+    assert a == b
+
+
+@pytest.mark.parametrize("text", ["at 12:30:45 on 01-02-2024", "std::vector 1", "0.030 1234567", "1.234.567.8901", "Add::1x"])
+def test_what_looks_similar_stays(text):
+    assert rewrite(text) == text
