@@ -38,7 +38,9 @@ RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "nofr
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small"
-    " span strike strong sub sup time tt u var wbr img".split()
+    " span strike strong sub sup time tt u var wbr img"
+    " math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace"
+    " msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 CLOSED_BY = {
     "p": set(
@@ -49,7 +51,7 @@ CLOSED_BY = {
     "th": {"td", "th", "tr"}, "option": {"option"},
 }
 LEFT_OUT = set(
-    "head nav footer aside form script style noscript template iframe svg math button select option textarea"
+    "head nav footer aside form script style noscript template iframe svg annotation annotation-xml button select option textarea"
     " input dialog menu title object embed canvas audio video noembed noframes xmp".split()
 )
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -60,6 +62,14 @@ MARKED_OUT = set(
     " share sharing social related recommended newsletter subscribe subscription popup modal overlay paywall"
     " pagination pager widget toolbar".split()
 )
+#: Words that, beside those, say nothing of what an element is about.
+STRUCTURE = set(
+    "area article bar block bottom box btn button buttons card cards col column container content entry fixed form"
+    " global group header icon icons inline inner item items left link links list main outer page panel post posts"
+    " primary right row secondary section sidebar signup site slot sticky story text title top unit wrap wrapper".split()
+)
+#: Those whose id marks a section; other ids of sections are often made from words of their headings.
+SECTIONS_OUT = {"comments", "disqus", "sidebar", "navbar", "breadcrumb", "breadcrumbs", "pagination", "pager"}
 ROLES_OUT = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog"}
 MAIN_NAMES = ("article", "main")
 
@@ -73,6 +83,23 @@ ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+def _words(token: str) -> set[str]:
+    return {w.lower() for w in NAME_PART.findall(token)}
+
+
+def _marks(token: str) -> bool:
+    """Whether a whole class or id says that an element isn't part of an article: no word of it is about anything else."""
+    words = _words(token)
+    return bool(words & MARKED_OUT) and words <= MARKED_OUT | STRUCTURE
+
+
+def _id_marks(name: str, token: str) -> bool:
+    """The same for an id; those of headings and paragraphs mark nothing, of sections only what is no subject."""
+    if name == "p" or name in HEADINGS:
+        return False
+    return _marks(token) and (name != "section" or bool(_words(token) & SECTIONS_OUT))
+
+
 class Element:
     """An open element: its name, its name in paths, and whether it is left out."""
 
@@ -82,8 +109,8 @@ class Element:
         given = {
             m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)
         } if attributes.strip() else {}
-        names = f"{given.get('class', '')} {given.get('id', '')}"
-        marks = {w.lower() for w in NAME_PART.findall(names)}
+        marked = any(_marks(token) for token in given.get("class", "").split())
+        marked = marked or (bool(given.get("id")) and _id_marks(name, given["id"]))
         role = given.get("role", "").lower()
         kind = next((c for c in re.split(r"[\s\d]+", given.get("class", "")) if c), "")
         kind = kind or ("role-" + role if role else "")
@@ -95,7 +122,7 @@ class Element:
             name in LEFT_OUT
             or (name == "header" and not within)
             or role in ROLES_OUT
-            or (name not in (*MAIN_NAMES, "html", "body") and bool(marks & MARKED_OUT))
+            or (name not in (*MAIN_NAMES, "html", "body") and marked)
             or "hidden" in given
             or given.get("aria-hidden") == "true"
             or "display:none" in given.get("style", "").replace(" ", "").lower()
@@ -357,7 +384,9 @@ def extracted(page: str, region: str) -> str:
             continue
         if any(e.hidden for e in stack):
             continue
-        if any(e.name == "header" for e in stack) and not any(e.name in HEADINGS for e in stack):
+        # Links in an article's header lead elsewhere, unless they stand in its title or standfirst.
+        names = {e.name for e in stack}
+        if {"header", "a"} <= names and not names & {"p", *HEADINGS}:
             continue
         text = html.unescape(value)
         whole[-1].append(text)

@@ -104,3 +104,28 @@ def test_tables(spark, monkeypatch):
         assert sorted(r["text"] for r in got.collect()) == ["", "", "a", "a", "a"]
     assert {r["host"] for r in html.wrappers(pages).collect()} == {"h.example", ""}
     assert html.main_text(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<h2 id='related-work'>kept</h2>",
+        "<h2 id='comments'>kept</h2>",
+        "<section id='social-effects'><p>kept</p></section>",
+        "<section id='advertising'><p>kept</p></section>",
+        "<p id='advertising-revenue'>kept</p>",
+        "<p id='notice'>kept</p>",
+        "<div class='notice-period'><p>kept</p></div>",
+        "<section id='comments-on-the-law'>kept</section>",
+        "<p><math><semantics><mi>ke</mi><mrow><mo>pt</mo></mrow><annotation>tex</annotation></semantics></math></p>",
+        "<header><p>kept</p><a>link</a></header>",
+        "<header><div class='standfirst'>kept</div></header>",
+    ],
+)
+def test_article_text_is_kept(part):
+    assert extracted(f"<article><p>a</p>{part}<p>b</p></article>", "").splitlines() == ["a", "kept", "b"]
+
+
+@pytest.mark.parametrize("name", ["ad", "related-posts", "shareButtons", "cookie-notice", "site-footer", "post-comments", "x ad-slot"])
+def test_marked_parts_are_left_out(name):
+    assert extracted(f"<article><p>a</p><div class='{name}'>out</div><p>b</p></article>", "") == "a\nb"
