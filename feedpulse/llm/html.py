@@ -29,9 +29,12 @@ from feedpulse.llm.arrow import added, as_bytes, clear_of, slices
 from feedpulse.sources.scratch import stored
 
 BROADCAST_HOSTS = 10_000
-#: Longest group of tokens that is looked for as a repetition.
+#: Longest group of tokens that is looked for as a repetition token by token; longer ones by element.
 PERIOD = 40
-SALTS = 16
+#: Most elements next to each other in a repeated group that is found by element.
+TOGETHER = 8
+#: Forms or wrappers of a host that are aligned in one group, on average.
+GROUP = 32
 
 # Element names of HTML by their part in a page.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -206,25 +209,52 @@ def repeated(tokens: list) -> list:
     for period in range(1, PERIOD + 1):
         if 2 * period > len(tokens):
             break
-        out, i = [], 0
-        while i < len(tokens):
-            group = tokens[i : i + period]
-            n = 1
-            while len(group) == period and tokens[i + n * period : i + (n + 1) * period] == group:
-                n += 1
-            if n > 1 and balanced(group):
-                out.append(group[0] if period == 1 and group[0][0] == "+" else ("+", tuple(group)))
-                i += n * period
-            # One more of a group found just before belongs to it.
-            elif out and isinstance(out[-1], tuple) and out[-1] == ("+", tuple(group)) and len(group) == period:
-                i += period
-            else:
-                out.append(tokens[i])
-                i += 1
-        tokens = out
+        tokens = _folded(tokens, period)
+    while periods := _periods(tokens):
+        tokens = _folded(tokens, min(periods))
     return tokens
 
 
+def _folded(tokens: list, period: int) -> list:
+    """With repetitions of groups of ``period`` tokens as one repeated group."""
+    out, i = [], 0
+    while i < len(tokens):
+        group = tokens[i : i + period]
+        n = 1
+        while len(group) == period and tokens[i + n * period : i + (n + 1) * period] == group:
+            n += 1
+        if n > 1 and balanced(group):
+            out.append(group[0] if period == 1 and group[0][0] == "+" else ("+", tuple(group)))
+            i += n * period
+        # One more of a group found just before belongs to it.
+        elif out and isinstance(out[-1], tuple) and out[-1] == ("+", tuple(group)) and len(group) == period:
+            i += period
+        else:
+            out.append(tokens[i])
+            i += 1
+    return out
+
+
+def _periods(tokens: list) -> set[int]:
+    """Lengths of one or a few elements that stand next to equal ones, as they may once groups in them are folded."""
+    found: set[int] = set()
+    levels: list[list[int]] = [[]]
+    for i, token in enumerate(tokens):
+        if isinstance(token, tuple) or token == "#":
+            continue
+        if not token.startswith("</"):
+            levels[-1].append(i)
+            levels.append([])
+        elif len(levels) > 1:
+            levels.pop()
+            starts = levels[-1]
+            for k in range(1, min(TOGETHER, len(starts) // 2) + 1):
+                a, b = starts[-2 * k], starts[-k]
+                if b - a == i + 1 - b and tokens[a:b] == tokens[b : i + 1]:
+                    found.add(b - a)
+    return found
+
+
 def balanced(tokens: list) -> bool:
     """Whether a group closes what it opens, and nothing else."""
     depth = 0
@@ -335,8 +365,8 @@ def region_mass(page: str) -> dict[str, int]:
     return mass
 
 
-def main_region(wrapper: str, mass: dict[str, int]) -> str:
-    """The path of the element to take text from; empty for the whole page."""
+def named_region(wrapper: str) -> str:
+    """The path of the outermost element that holds an article by its name or role; empty if there is none."""
     stack: list[str] = []
     regions: dict[str, str] = {}
     for token in flat(from_text(wrapper)):
@@ -354,6 +384,13 @@ def main_region(wrapper: str, mass: dict[str, int]) -> str:
     for kind in (*MAIN_NAMES, "role-main"):
         if kind in regions:
             return regions[kind]
+    return ""
+
+
+def main_region(wrapper: str, mass: dict[str, int]) -> str:
+    """The path of the element to take text from; empty for the whole page."""
+    if region := named_region(wrapper):
+        return region
     total = sum(v for v in mass.values() if v > 0)
     sums: dict[str, int] = {}
     for path, size in mass.items():
@@ -446,34 +483,56 @@ def forms(pages: DataFrame, page: str, of: str) -> DataFrame:
 def wrappers(pages: DataFrame, page: str = "html", url: str = "url") -> DataFrame:
     """(host, wrapper, region, n_forms) for every host; a page without a URL belongs to the host ''.
 
-    A host's forms are aligned in ``SALTS`` parts first, then the parts' wrappers.
+    A host's forms are aligned in groups of about ``GROUP``, then the groups' wrappers,
+    until there is one.
     """
     of = clear_of(pages, "host")
     counted = stored(forms(pages.withColumn(of, host(f"`{url}`")), page, of), "forms")
 
+    level = counted.where("form IS NOT NULL").select("host", "form", "n", F.lit(1).cast("long").alias("forms"))
+    groups = 0
+    while groups != 1:
+        most = level.groupBy("host").count().agg(F.max("count")).first()[0] or 1
+        groups = -(-most // GROUP)
+        level = stored(merged(level, groups), "merged")
+    found = level.join(massive_regions(counted.where("path IS NOT NULL").select("host", "path", "n")), "host", "left")
+
+    def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            host, wrapper, massive, n = (batch.column(c) for c in ("host", "form", "region", "forms"))
+            region = [named_region(w) or m or "" for w, m in zip(wrapper.to_pylist(), massive.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [host, wrapper, pa.array(region, pa.string()), n], names=["host", "wrapper", "region", "n_forms"]
+            )
+
+    schema = "host string, wrapper string, region string, n_forms long"
+    return stored(found.select("host", "form", "region", "forms").mapInArrow(regions, schema), "wrappers")
+
+
+def merged(level: DataFrame, groups: int) -> DataFrame:
+    """(host, form, n, forms): the wrappers of a host's forms in ``groups`` parts, and how many forms each stands for."""
+
     def part(table: pa.Table) -> pa.Table:
         rows = list(zip(table.column("form").to_pylist(), table.column("n").to_pylist(), strict=True))
+        forms = sum(table.column("forms").to_pylist())
         return pa.table(
-            {"host": table.column("host")[:1], "form": [wrapper_of(rows)], "n": [sum(n for _, n in rows)], "forms": [len(rows)]}
+            {"host": table.column("host")[:1], "form": [wrapper_of(rows)], "n": [sum(n for _, n in rows)], "forms": [forms]}
         )
 
-    def whole(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = list(zip(left.column("form").to_pylist(), left.column("n").to_pylist(), strict=True))
-        mass = dict(zip(right.column("path").to_pylist(), right.column("n").to_pylist(), strict=True))
-        own = (left if left.num_rows else right).column("host")[0].as_py()
-        made = wrapper_of(rows)
-        return pa.table(
-            {
-                "host": pa.array([own], pa.string()), "wrapper": [made], "region": [main_region(made, mass)],
-                "n_forms": pa.array([sum(left.column("forms").to_pylist())], pa.int64()),
-            }
-        )
-
-    salted = counted.where("form IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("form"), F.lit(SALTS)))
-    parts = salted.groupBy("host", "salt").applyInArrow(part, "host string, form string, n long, forms long")
-    mass = counted.where("path IS NOT NULL").select("host", "path", "n")
-    schema = "host string, wrapper string, region string, n_forms long"
-    return stored(parts.groupBy("host").cogroup(mass.groupBy("host")).applyInArrow(whole, schema), "wrappers")
+    salted = level.withColumn("salt", F.pmod(F.xxhash64("form"), F.lit(groups)))
+    return salted.groupBy("host", "salt").applyInArrow(part, "host string, form string, n long, forms long")
+
+
+def massive_regions(mass: DataFrame) -> DataFrame:
+    """(host, region): the innermost element with most of a host's text, from the ``n`` of each path, as in ``main_region``."""
+    total = mass.groupBy("host").agg(F.sum(F.when(F.col("n") > 0, F.col("n")).otherwise(0)).alias("total"))
+    parts = "split(path, '/', -1)"
+    above = f"explode(transform(sequence(1, size({parts})), i -> array_join(slice({parts}, 1, i), '/')))"
+    sums = mass.selectExpr("host", f"{above} AS prefix", "n").groupBy("host", "prefix").agg(F.sum("n").alias("size"))
+    last = F.split_part(F.element_at(F.split("prefix", "/"), -1), F.lit("."), F.lit(1))
+    best = sums.join(total, "host").where((F.col("size") >= F.lit(0.7) * F.col("total")) & ~last.isin("p", "li", *HEADINGS))
+    depth = F.size(F.split("prefix", "/"))
+    return best.groupBy("host").agg(F.max(F.struct(depth.alias("depth"), "prefix"))["prefix"].alias("region"))
 
 
 def main_text(pages: DataFrame, page: str = "html", url: str = "url") -> DataFrame:

@@ -129,3 +129,30 @@ def test_article_text_is_kept(part):
 @pytest.mark.parametrize("name", ["ad", "related-posts", "shareButtons", "cookie-notice", "site-footer", "post-comments", "x ad-slot"])
 def test_marked_parts_are_left_out(name):
     assert extracted(f"<article><p>a</p><div class='{name}'>out</div><p>b</p></article>", "") == "a\nb"
+
+
+def test_long_repetitions():
+    card = "<div>" + "".join(f"<{t}>x</{t}>" for t in ("h2", "p", "ul", "table", "dl", "pre", "figure") * 3) + "</div>"
+    two, five = (written(f"<main>{card * n}</main>") for n in (2, 5))
+    assert two == five
+    pairs = [written("<main>" + ("<h2>t</h2>" + card) * n + "</main>") for n in (2, 7)]
+    assert pairs[0] == pairs[1] and from_text(pairs[0]) == repeated(form("<main>" + ("<h2>t</h2>" + card) * 2 + "</main>"))
+
+
+def test_groups_of_a_host_with_many_forms(spark):
+    """One host with 600 forms: no group takes many of them, and the region is that of plain sums."""
+    names = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}" for i in range(600)]
+    texts = [f"<body><div class=top><a href=1>Home</a></div><div class=text><h2>T</h2><div class={n}><p>many words</p></div></div></body>" for n in names]
+    pages = spark.createDataFrame([(i, "http://one.example/x", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    level = spark.createDataFrame([("h", written(t), 1, 1) for t in texts], "host string, form string, n long, forms long")
+    sizes = [r["forms"] for r in html.merged(level, -(-600 // html.GROUP)).collect()]
+    assert sum(sizes) == 600 and max(sizes) < 3 * html.GROUP
+    row = html.wrappers(pages).collect()[0]
+    assert row["n_forms"] == 600 and row["region"] == "body/div.text"
+    mass = {}
+    for t in texts:
+        for path, n in region_mass(t).items():
+            mass[path] = mass.get(path, 0) + n
+    assert main_region("", mass) == row["region"]
+    rows = html.main_text(pages.limit(5)).collect()
+    assert {r["text"] for r in rows} == {"T\nmany words"}
