@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from feedpulse.llm import bpe, embedding_dedup, html, mixing, neighbours, pii, sharding, simhash, toxicity, unigram
+from pyspark.sql import functions as F
+
+from feedpulse.llm import (
+    bpe,
+    embedding_dedup,
+    html,
+    mixing,
+    neighbours,
+    packing,
+    pii,
+    sharding,
+    simhash,
+    spelling,
+    toxicity,
+    unigram,
+    whitening,
+)
 from feedpulse.llm.arrow import documents, embeddings
 from feedpulse.llm.ship import shipping
 from feedpulse.llm.stages import DEMONSTRATION_KEY, MAX_REPEATS
@@ -78,6 +93,24 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), labels)
 
 
+@shipping
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(documents(spark, folder))
+
+
+@shipping
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(embeddings(spark, folder))
+
+
+@shipping
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces' ids are reduced to their checksum before anything is stored."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pieces(documents(spark, folder).select("doc_id", "text"), tokenizer)
+    return packing.packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 def queries() -> dict[str, Query]:
     operators = (
         op1_simhash_near_dedup,
@@ -90,6 +123,9 @@ def queries() -> dict[str, Query]:
         op8_token_counts,
         op9_pii_surrogates,
         op10_toxicity,
+        op11_spelling_variants,
+        op12_embedding_whitening,
+        op13_best_fit_packing,
     )
     return {f.__name__: f for f in operators}
 
