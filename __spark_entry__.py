@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from feedpulse.functions.dates import days  # noqa: E402
-from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup  # noqa: E402
+from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup, user_weeks  # noqa: E402
 from feedpulse.plans import jobs  # noqa: E402
 from oracle import sample  # noqa: E402
 from oracle.sample import (  # noqa: E402
@@ -106,6 +106,22 @@ def streamed_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{base}/alerts").drop("month", "batch_id"))
 
 
+def weeks_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """User weeks kept from the history, then brought up by the last week alone."""
+    feed, path = feed_actions(spark, folder), scratch_path(spark, "user-weeks")
+    user_weeks.extend(feed, path, sample.FIRST_DAY, sample.LAST_DAY - days(7))
+    user_weeks.extend(feed, path, sample.LAST_DAY, sample.LAST_DAY)
+    return user_weeks.read_state(spark, path)
+
+
+def retention_kept(source: str, digits: int | None = None) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        counts = user_weeks.cohort_sizes(weeks_kept(spark, folder), source)
+        return counts if digits is None else rounded(retention.as_percent(counts, digits))
+
+    return run
+
+
 def aa_users(feed: DataFrame, *groups: int) -> DataFrame:
     return experiments.user_ctr(feed, *AA_WEEK, groups)
 
@@ -197,6 +213,10 @@ def product_queries() -> dict[str, Query]:
         "weekly_retention_percent_organic": on_feed(
             lambda f: retention.weekly_retention_percent(f, "organic", 2)
         ),
+        "weekly_activity_kept": lambda spark, folder: user_weeks.activity_status(weeks_kept(spark, folder), AS_OF),
+        "weekly_retention_kept": retention_kept("ads"),
+        "weekly_retention_kept_organic": retention_kept("organic"),
+        "weekly_retention_percent_kept": retention_kept("ads", 1),
         "first_action_date": on_feed(retention.first_action_date),
         "first_action_date_few_hot": on_feed(lambda f: retention.first_action_date(f, FEW_HOT)),
         "campaign_daily_retention": on_feed(

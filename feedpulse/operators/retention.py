@@ -83,12 +83,16 @@ def weekly_retention_percent(
     feed: DataFrame, source: str, digits: int = 1, limit: int | None = None
 ) -> DataFrame:
     """``weekly_retention`` as a percentage of the cohort's largest week."""
-    counts = weekly_retention(feed, source)
+    ordered = as_percent(weekly_retention(feed, source), digits)
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def as_percent(counts: DataFrame, digits: int = 1) -> DataFrame:
+    """Cohort sizes as a percentage of the cohort's largest week."""
     largest = F.max("rt").over(Window.partitionBy("first_action"))
     percent = F.round(ratio(F.col("rt") * 100, largest), digits).alias("percent_rt")
     rows = counts.select("first_action", "action", "week_number", percent)
-    ordered = rows.orderBy("first_action", "action")
-    return ordered if limit is None else ordered.limit(limit)
+    return rows.orderBy("first_action", "action")
 
 
 def first_action_date(feed: DataFrame, hot_users: int = HOT_USERS, salts: int = SALTS) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 
 from feedpulse.functions.dates import days
-from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup
+from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup, user_weeks
 from feedpulse.operators.rollup import dims_with_day
 from feedpulse.sources.scratch import stored
 from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write, read_dims, write_dims
@@ -77,6 +77,23 @@ def weekly_report(feed: DataFrame, as_of: date) -> dict[str, DataFrame]:
     return results
 
 
+def weekly_report_kept(feed: DataFrame, as_of: date, path: str, first: date | None = None) -> dict[str, DataFrame]:
+    """``weekly_report`` from the state kept under ``path``, after bringing in the week of the day before ``as_of``.
+
+    Only that week's events are read; ``first`` brings in all weeks from there, to begin with
+    or for events that came late.
+    """
+    yesterday = as_of - days(1)
+    user_weeks.extend(feed, path, first or yesterday, yesterday)
+    state = user_weeks.read_state(feed.sparkSession, path)
+    results = {"status": user_weeks.activity_status(state, as_of)}
+    for source, digits in (("ads", 1), ("organic", 2)):
+        counts = user_weeks.cohort_sizes(state, source)
+        results[f"retention_{source}"] = counts
+        results[f"percent_{source}"] = retention.as_percent(counts, digits)
+    return results
+
+
 def dashboard_tables(feed: DataFrame, msg: DataFrame, as_of: date) -> dict[str, DataFrame]:
     """What the three dashboards show."""
     return {

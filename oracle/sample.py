@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAST_DAY = date(2024, 1, 30)
+FIRST_DAY = date(2023, 4, 1)  # no event is moved to a day before
 CHANGE_DAY = date(2024, 1, 20)
 AS_OF = date(2024, 1, 31)
 AS_OF_TS = datetime(2024, 1, 30, 18, 7)
