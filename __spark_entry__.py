@@ -6,14 +6,26 @@ import sys
 from collections.abc import Callable
 from datetime import date, datetime
 from pathlib import Path
+from uuid import uuid4
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from feedpulse.functions.dates import days  # noqa: E402
-from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup, user_weeks  # noqa: E402
+from feedpulse.functions.dates import days, on_days  # noqa: E402
+from feedpulse.functions import measures  # noqa: E402
+from feedpulse.operators import (  # noqa: E402
+    alerts,
+    dashboards,
+    experiments,
+    first_seen,
+    reports,
+    retention,
+    rollup,
+    sketches,
+    user_weeks,
+)
 from feedpulse.plans import jobs  # noqa: E402
 from oracle import sample  # noqa: E402
 from oracle.sample import (  # noqa: E402
@@ -122,6 +134,56 @@ def retention_kept(source: str, digits: int | None = None) -> Query:
     return run
 
 
+def uniq_in_week(feed: DataFrame) -> DataFrame:
+    """Users of the last seven days, counted, and whether kept daily sketches tell as much within their bound."""
+    dimensions = ("os", "source", "gender")
+    estimates = sketches.users_in_window(sketches.daily_sketches(feed, dimensions))
+    counted = sketches.exact_users_in_window(feed, dimensions).join(estimates, list(sketches.KEYS), "full")
+    near = sketches.within(F.col("estimate"), F.col("users"), F.col("users"))
+    return counted.select(*sketches.KEYS, "users", near.alias("within_bound"))
+
+
+def uniq_weekly_status(feed: DataFrame) -> DataFrame:
+    """The weekly status, counted, and whether set operations on sketches tell as much."""
+    estimates = sketches.weekly_status_estimate(sketches.daily_sketches(feed, ()), AS_OF)
+    estimates = estimates.withColumnRenamed("num_users", "estimate")
+    both = retention.weekly_activity_status(feed, AS_OF).join(estimates, ["week", "status"], "full")
+    near = sketches.within(F.col("estimate"), F.col("num_users"), F.col("active"))
+    return both.select("week", "status", "num_users", near.alias("within_bound"))
+
+
+def user_day_ctr(feed: DataFrame) -> DataFrame:
+    in_week = on_days(feed, *AB_WEEK).withColumn("date", F.to_date("time"))
+    by_user = in_week.groupBy("exp_group", "date", "user_id").agg(measures.likes(), measures.views())
+    return by_user.withColumn("ctr", measures.ratio(F.col("likes"), F.col("views")))
+
+
+def ctr_quantiles(feed: DataFrame) -> DataFrame:
+    """Quantiles of users' daily CTR over a week by group, from daily sketches, with their exact rank."""
+    values = user_day_ctr(feed)
+    daily = sketches.daily_quantile_sketches(values, "ctr", "exp_group", "date")
+    asked = sketches.quantiles(daily, (0.1, 0.25, 0.5, 0.75, 0.9), "exp_group")
+    ranked = sketches.rank_of(values, "ctr", asked, "exp_group").join(asked, ["exp_group", "p", "quantile"])
+    error = sketches.rank_error()
+    near = F.col("p").between(F.col("below") - error, F.col("up_to") + error)
+    return ranked.select("exp_group", "p", "n", near.alias("within_bound"))
+
+
+def first_seen_kept(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Names of the kept tables, filled in three steps: the latest days come before older ones."""
+    feed, name = feed_actions(spark, folder), f"kept_{uuid4().hex}"
+    path = scratch_path(spark, "first-seen")
+    late = F.col("user_id") % 7 == 3
+    before, after = on_days(feed, None, CAMPAIGN - days(1)), on_days(feed, CAMPAIGN, None)
+    for part in (before.where(~late), after, before.where(late)):
+        first_seen.add_day(part, f"{name}_events", f"{name}_firsts", path, FEW_HOT, buckets=8)
+    return f"{name}_events", f"{name}_firsts"
+
+
+def campaign_kept(spark: SparkSession, folder: str) -> DataFrame:
+    return first_seen.cohort_retention(spark, *first_seen_kept(spark, folder), CAMPAIGN, CAMPAIGN)
+
+
 def aa_users(feed: DataFrame, *groups: int) -> DataFrame:
     return experiments.user_ctr(feed, *AA_WEEK, groups)
 
@@ -219,6 +281,13 @@ def product_queries() -> dict[str, Query]:
         "weekly_retention_percent_kept": retention_kept("ads", 1),
         "first_action_date": on_feed(retention.first_action_date),
         "first_action_date_few_hot": on_feed(lambda f: retention.first_action_date(f, FEW_HOT)),
+        "first_action_date_kept": lambda spark, folder: first_seen.first_action_date(
+            spark, *first_seen_kept(spark, folder)
+        ),
+        "campaign_daily_retention_kept": campaign_kept,
+        "uniq_in_week": on_feed(uniq_in_week),
+        "uniq_weekly_status": on_feed(uniq_weekly_status),
+        "ctr_quantiles": on_feed(ctr_quantiles),
         "campaign_daily_retention": on_feed(
             lambda f: retention.campaign_daily_retention(f, CAMPAIGN)
         ),
