@@ -19,6 +19,7 @@ filling takes a run of the numbers. No group of pieces meets in a task.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,8 +36,7 @@ from feedpulse.sources.scratch import stored
 CAPACITY, END_ID = 1024, 2
 #: Fixed value: the public pattern by which byte-level tokenizers cut a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT_WORDS, KEPT_CHUNKS, LONGEST_KEPT = 200_000, 100_000, 64
-ODD = re.compile(r"\s\s|^\s|\s\Z").search
+KEPT, LONGEST_KEPT = 300_000, 64
 SAFE = re.compile(r"(?<=\S)(?= \S)").split
 #: The linear program: phases at most, the cover a phase adds at most, how prices fall with it, and
 #: the fillings that count as dear; shares of its usage that are tried in rounding.
@@ -46,18 +46,22 @@ PHASES, STEP, RATE, NEAR, SHARES = 2_000, 0.1, 3.0, 0.01, (1.0, 0.9, 0.7, 0.5, 0
 # Tokens
 
 
+class Odd(Exception):
+    """White space beside white space."""
+
+
 class Kept(dict):
     """Values by text, computed when missing; of two generations, the older one goes. Long texts are not kept."""
 
-    def __init__(self, make: Callable[[str], bytes], limit: int) -> None:
-        self.make, self.limit, self.older = make, limit, {}
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make, self.older = make, {}
 
     def __missing__(self, text: str) -> bytes:
         value = self.older.get(text)
         if value is None:
             value = self.make(text)
         if len(text) <= LONGEST_KEPT:
-            if len(self) >= self.limit:
+            if len(self) >= KEPT:
                 self.older = dict(self)
                 self.clear()
             self[text] = value
@@ -83,12 +87,10 @@ class Encoder:
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in seen]
         self.table = {b: b for b in seen} | {b: 256 + n for n, b in enumerate(rest)}
-        self.word = Kept(self.merged, KEPT_WORDS)
-        self.first = Kept(self.chunk, KEPT_CHUNKS)
-        self.later = Kept(lambda text: self.chunk(" " + text), KEPT_CHUNKS)
-        added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
+        self.word = Kept(self.merged)
+        self.first, self.later = Kept(self.chunk), Kept(lambda text: self.chunk(text, " "))
         # The tokenizer takes these strings out before it looks for words.
-        self.special = re.compile("|".join(map(re.escape, added))).search if added else lambda _: None
+        self.special = [t.content for t in self.tool.get_added_tokens_decoder().values()]
         self.feed = self.word["\n"]
 
     def whole(self, text: str) -> bytes:
@@ -97,23 +99,27 @@ class Encoder:
     def merged(self, word: str) -> bytes:
         """The ids of one match of the pattern."""
         tokens = self.merge(word.encode().decode("latin-1").translate(self.table))
-        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        return array("I", [t.id for t in tokens]).tobytes()
 
-    def chunk(self, text: str) -> bytes:
-        if text.isalpha() and text.isascii():
-            return self.word[text]
-        return b"".join(map(self.word.__getitem__, self.words(text)))
+    def chunk(self, text: str, lead: str = "") -> bytes:
+        """The ids of what stands between two spaces or line feeds, after ``lead``."""
+        if not text or text[0].isspace() or text[-1].isspace():
+            raise Odd
+        if text.isalpha() and (text.isascii() or max(text) < "\u0500"):  # Latin, Greek and Cyrillic words
+            return self.word[lead + text]
+        return b"".join(map(self.word.__getitem__, self.words(lead + text)))
 
     def ids(self, text: str) -> bytes:
         """What the tokenizer gives for the whole text, without special tokens."""
-        if self.special(text):
+        if any(special in text for special in self.special):
             return self.whole(text)
-        if ODD(text):
-            return b"".join(map(self.chunk, SAFE(text)))
         first, later, out = self.first.__getitem__, self.later.__getitem__, []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            out.append(b"".join([first(head), *map(later, rest)]))
+        try:
+            for line in text.split("\n"):
+                head, *rest = line.split(" ")
+                out.append(b"".join([first(head), *map(later, rest)]))
+        except Odd:
+            return b"".join([b"".join(map(self.word.__getitem__, self.words(t))) for t in SAFE(text)])
         return self.feed.join(out)
 
 
