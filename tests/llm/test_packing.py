@@ -1,0 +1,195 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from feedpulse.llm import packing, queries
+from tests.conftest import SMALL
+from tests.llm.conftest import CLASHING
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ODD = (
+    ["", "\n", " ", "a b", "a  b", "\n\na", " a", "a ", "a\n", "a\n b", "it's  I'll 'tis", "<|endoftext|> x", "é ü x"]
+    + ["a b", "12 3a ½ ²x", "日本 語 1", "\x1c a", "a\x85b c", "😀 😀!", "\t\ta b\r\nc d", "x" * 5_000, "́a b"]
+)
+
+
+@pytest.fixture(scope="module")
+def tool():
+    return packing.Encoder(PATH)
+
+
+def test_ids_are_the_librarys(tool, spark):
+    draw = random.Random(3)
+    bits = [" ", "  ", "\n", "a", "b'", "'s", "é", "1", "½", "!", "\t", " ", "　", "x y", "Ω", "🙂", "\x1c", "​"]
+    texts = ODD + ["".join(draw.choice(bits) for _ in range(draw.randrange(1, 14))) for _ in range(2_000)]
+    texts += [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    for text in texts:
+        assert tool.ids(text) == tool.whole(text), text
+
+
+def test_caches_forget(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT", 5)
+    small = packing.Encoder(PATH)
+    text = " ".join(f"word{n} x{n}." for n in range(200))
+    assert small.ids(text) == small.whole(text) == small.ids(text)
+    assert len(small.word) <= 5 and len(small.later.older) <= 5
+
+
+@pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 20, 25])
+def test_cuts(n):
+    got = packing.cuts(n, 10)
+    assert sum(x for _, x in got) == n
+    assert [a for a, _ in got] == [sum(x for _, x in got[:i]) for i in range(len(got))]
+    assert all(x == 10 for _, x in got[1:])
+
+
+def plain_knapsack(prices, room):
+    best = [0.0] * (room + 1)
+    for r in range(1, room + 1):
+        best[r] = max([best[r - 1]] + [prices[x] + best[r - x] for x in range(1, r + 1)])
+    return best
+
+
+def test_knapsack_against_plain():
+    rng = np.random.default_rng(1)
+    for room in (1, 2, 30):
+        prices = np.where(rng.random(room + 1) < 0.5, rng.random(room + 1), 0)
+        prices[0] = 0
+        best, last = packing.knapsack(prices, room)
+        assert np.allclose(best, plain_knapsack(prices, room))
+        first = np.arange(1, room + 1)
+        use = packing.loads(first, last, room)
+        assert ((use @ np.arange(room + 1)) <= room).all()
+        rest = room - first
+        assert np.allclose(use @ prices, prices[first] + best[rest])
+
+
+def fewest(lengths, room):
+    """The fewest sequences, by trying everything."""
+    lengths, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(bins)
+            return
+        for b in sorted(set(bins)):
+            if b >= lengths[i]:
+                at = bins.index(b)
+                place(i + 1, bins[:at] + [b - lengths[i]] + bins[at + 1 :])
+        place(i + 1, bins + [room - lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def counted(lengths, room):
+    return np.bincount(lengths, minlength=room + 1).astype(np.int64)
+
+
+def check_fillings(counts, room, whole):
+    held = np.zeros_like(counts)
+    for (lengths, times), uses in whole:
+        assert uses > 0 and lengths @ times <= room
+        held[lengths] += uses * times
+    assert (held == counts).all()
+
+
+def test_small_cases_against_all_ways():
+    rng = np.random.default_rng(4)
+    worse = 0
+    for _ in range(60):
+        room = int(rng.integers(5, 30))
+        lengths = rng.integers(1, room, rng.integers(1, 11)).tolist()
+        counts = counted(lengths, room)
+        whole, bound = packing.fillings(counts, room)
+        check_fillings(counts, room, whole)
+        n, least = sum(u for _, u in whole), fewest(lengths, room)
+        assert bound <= least + 1e-9 and least <= n <= least + 1
+        worse += n > least
+    assert worse <= 3
+
+
+@pytest.mark.parametrize("scale", [1, 1_000_000])
+def test_program_comes_close_to_its_bound(scale):
+    rng = np.random.default_rng(2)
+    counts = counted(np.minimum(rng.lognormal(5.5, 1.2, 20_000).astype(int) + 1, 1023), 1024) * scale
+    found, usage, bound = packing.linear_program(counts, 1024)
+    cover = np.zeros(1025)
+    for (lengths, times), u in zip(found, usage, strict=True):
+        cover[lengths] += u * times
+    lengths = np.flatnonzero(counts)
+    assert (cover[lengths] / counts[lengths]).min() > 0.9
+    whole, _ = packing.fillings(counts, 1024)
+    check_fillings(counts, 1024, whole)
+    assert sum(u for _, u in whole) <= 1.003 * max(bound, (counts @ np.arange(1025)) / 1024) + 1
+
+
+def best_fit(lengths, room):
+    """Sequences of best-fit decreasing, one by one."""
+    from bisect import bisect_left, insort
+
+    rooms = []
+    for x in sorted(lengths, reverse=True):
+        at = bisect_left(rooms, x)
+        left = rooms.pop(at) if at < len(rooms) else room
+        insort(rooms, left - x)
+    return len(rooms)
+
+
+def sequences(df, capacity):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.sequence_id, []).append((r.offset, r.length, r))
+    for held in out.values():
+        at = 0
+        for offset, n, _ in sorted(held, key=lambda x: x[:2]):
+            assert offset == at
+            at += n
+        assert at <= capacity
+    return out
+
+
+def test_query(spark, tool):
+    got = queries.op13_best_fit_packing(spark, SMALL)
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    held = sequences(got, 1024)
+    pieces = {(r.doc_id, r.piece): r for rows in held.values() for _, _, r in rows}
+    want = {}
+    for doc in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        ids = np.frombuffer(tool.whole(doc.text or ""), "<u4").tolist() + [2]
+        cuts = packing.cuts(len(ids), 1024)
+        for i, (start, n) in enumerate(cuts):
+            want[doc.doc_id, i] = (start, n, zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes()))
+    assert {k: (r.start, r.length, r.ids_crc32) for k, r in pieces.items()} == want and got.count() == len(want)
+    lengths = [n for _, n, _ in want.values()]
+    assert len(held) <= best_fit(lengths, 1024) and len(held) <= -(-sum(lengths) // 1024) + 2
+
+
+def test_many_tasks_and_a_common_length(spark):
+    rows = spark.range(30_000, numPartitions=37).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1L ELSE 1 + id % 50 END AS length")
+    held = sequences(packing.packed(rows, 50), 50)
+    assert sum(len(x) for x in held.values()) == 30_000
+    assert len({r.id for x in held.values() for _, _, r in x}) == 30_000
+    total = rows.agg(F.sum("length")).first()[0]
+    assert len(held) <= -(-total // 50) + 2
+
+
+def test_messy_tables(messy, clashing, tool):
+    pieces = packing.pieces(messy, PATH)
+    got = packing.packed(pieces)
+    held = sequences(got, 1024)
+    rows = [r for x in held.values() for _, _, r in x]
+    assert sum(r.doc_id == 1 for r in rows) == 2
+    assert [(r.length, bytes(r.ids)) for r in rows if r.doc_id in (2, 3)] == [(1, b"\2\0\0\0")] * 2
+    assert sum(r.length for r in rows if r.doc_id == 5) == len(tool.whole("word after word " * 5_000)) // 4 + 1
+    other = packing.packed(packing.pieces(clashing.withColumns({"Offset": F.lit(9), "PIECE": F.lit("x")}), PATH))
+    assert other.count() == got.count() and {c.lower() for c in CLASHING} <= {c.lower() for c in other.columns}
+    lower = [c.lower() for c in other.columns]
+    assert len(set(lower)) == len(lower)
+    assert packing.packed(packing.pieces(messy.limit(0), PATH)).collect() == []
