@@ -18,6 +18,7 @@ from feedpulse.functions import measures  # noqa: E402
 from feedpulse.operators import (  # noqa: E402
     alerts,
     dashboards,
+    day_totals,
     experiments,
     first_seen,
     reports,
@@ -38,8 +39,8 @@ from oracle.sample import (  # noqa: E402
     message_actions,
 )
 from feedpulse.sources.scratch import scratch_path  # noqa: E402
-from feedpulse.sources.writers import daily_rollup_write  # noqa: E402
-from feedpulse.streaming import activity  # noqa: E402
+from feedpulse.sources.writers import daily_rollup_commit, daily_rollup_read, daily_rollup_write  # noqa: E402
+from feedpulse.streaming import activity, both_services  # noqa: E402
 from oracle.queries import statements  # noqa: E402
 
 try:  # the operators for training data can be left out
@@ -95,6 +96,28 @@ def rollup_stored(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def rollup_committed(spark: SparkSession, folder: str) -> DataFrame:
+    """The day in a table of versions, after a first, wrong run of it and beside another day."""
+    feed, msg = feed_actions(spark, folder), message_actions(spark, folder)
+    path, day = scratch_path(spark, "rollup-versions"), AS_OF - days(1)
+    wrong = rollup.daily_rollup_final(feed.where("user_id % 2 = 0"), msg, AS_OF)
+    daily_rollup_commit(wrong, path, day)
+    daily_rollup_commit(rollup.daily_rollup_final(feed, msg, day), path, day - days(1))
+    daily_rollup_commit(rollup.daily_rollup_final(feed, msg, AS_OF), path, day)
+    return daily_rollup_read(spark, path, first=day)
+
+
+def kept_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily totals kept from some of the events; the others, for days long past too, come late."""
+    feed, msg = feed_actions(spark, folder), message_actions(spark, folder)
+    path, early = scratch_path(spark, "day-totals"), F.xxhash64("time") % 10 < 7
+    day_totals.mark_dirty(path, feed.where(early), msg.where(early))
+    day_totals.refresh(feed.where(early), msg.where(early), path)
+    day_totals.mark_dirty(path, feed.where(~early), msg.where(~early))
+    day_totals.refresh(feed, msg, path)
+    return day_totals.read_totals(spark, path)
+
+
 def rollup_with_kept_dims(spark: SparkSession, folder: str) -> DataFrame:
     """The roll-up from kept dimension values and one new day."""
     feed, path = feed_actions(spark, folder), scratch_path(spark, "dims")
@@ -184,6 +207,23 @@ def campaign_kept(spark: SparkSession, folder: str) -> DataFrame:
     return first_seen.cohort_retention(spark, *first_seen_kept(spark, folder), CAMPAIGN, CAMPAIGN)
 
 
+def streamed_full_activity(spark: SparkSession, folder: str) -> DataFrame:
+    events, base = sample.stream_events(spark, folder), scratch_path(spark, "full-stream")
+    feed, msg = sample.feed_from_events(events), sample.messages_from_events(events)
+    both_services.full_activity_to_table(feed, msg, f"{base}/series", f"{base}/checkpoint").awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/series"))
+
+
+def corrected_activity(spark: SparkSession, folder: str) -> DataFrame:
+    """The events arrive in no order at all, in eight files and four steps."""
+    base, events = scratch_path(spark, "corrected"), sample.read_events(spark, folder)
+    events.repartition(8, F.xxhash64("event_id")).write.parquet(f"{base}/incoming")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/incoming")
+    feed, msg = sample.feed_from_events(arriving), sample.messages_from_events(arriving)
+    both_services.corrected_activity(feed, msg, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return rounded(both_services.corrected_series(spark, f"{base}/out"))
+
+
 def aa_users(feed: DataFrame, *groups: int) -> DataFrame:
     return experiments.user_ctr(feed, *AA_WEEK, groups)
 
@@ -232,6 +272,7 @@ def product_queries() -> dict[str, Query]:
         "daily_rollup_final": on_both(lambda f, m: rollup.daily_rollup_final(f, m, AS_OF)),
         "daily_rollup_write": rollup_stored,
         "daily_rollup_kept_dims": rollup_with_kept_dims,
+        "daily_rollup_versioned": rollup_committed,
         # Alerts
         "activity_15min": on_feed(lambda f: alerts.activity_15min(f, AS_OF_TS)),
         "activity_15min_filled": on_feed(lambda f: alerts.activity_15min(f, AS_OF_TS, fill=True)),
@@ -243,6 +284,8 @@ def product_queries() -> dict[str, Query]:
         "anomaly_check": on_feed(lambda f: alerts.anomaly_alerts(bands(f), flagged_only=False)),
         "anomaly_backtest": on_feed(lambda f: alerts.anomaly_backtest(alerts.activity_series(f))),
         "activity_15min_stream": streamed_activity,
+        "activity_15min_full_stream": streamed_full_activity,
+        "activity_15min_corrected": corrected_activity,
         "anomaly_alerts_stream": streamed_alerts,
         # Reports
         "feed_daily_metrics": on_feed(lambda f: reports.feed_daily_metrics(f, AS_OF)),
@@ -258,6 +301,10 @@ def product_queries() -> dict[str, Query]:
         "source_share_daily": on_feed(lambda f: reports.source_share_daily(f, AS_OF)),
         "traffic_shares": on_feed(lambda f: reports.traffic_shares(f, AS_OF)),
         "activity_change_daily": on_both(lambda f, m: reports.activity_change_daily(f, m, AS_OF)),
+        "activity_change_daily_kept": lambda spark, folder: rounded(
+            day_totals.activity_change(kept_totals(spark, folder), AS_OF)
+        ),
+        "service_overlap_daily_kept": lambda spark, folder: day_totals.service_overlap(kept_totals(spark, folder)),
         "service_report_row": on_both(
             lambda f, m: reports.service_report_row(
                 reports.dau_by_service(f, m, AS_OF),

@@ -83,46 +83,68 @@ def activity_15min(feed: DataFrame, as_of_ts: datetime, fill: bool = False) -> D
     return (fill_gaps(series) if fill else series).orderBy("date", "minutes")
 
 
-def activity_15min_full(feed: DataFrame, msg: DataFrame, as_of_ts: datetime) -> DataFrame:
-    """As ``activity_15min`` with CTR, messenger users and messages sent.
+#: What is added up for each user and bucket, so that both services need no join.
+USER_SUMS = ("feed_events", "likes", "views", "messages_sent")
 
-    Both services are reduced to (bucket, user) together, which makes the full
-    outer join of their buckets unnecessary.
-    """
-    start, end = closed_span(as_of_ts)
-    none = F.lit(0).cast("long")
-    feed_rows = time_span(feed, start, end).select(
+
+def feed_rows(feed: DataFrame) -> DataFrame:
+    """(time, user_id, sums): a row for each feed action."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    return feed.select(
         "time",
         "user_id",
-        F.lit(1).cast("long").alias("feed_events"),
+        one.alias("feed_events"),
         is_like().cast("long").alias("likes"),
         is_view().cast("long").alias("views"),
         none.alias("messages_sent"),
     )
-    msg_rows = time_span(msg, start, end).select(
-        F.col("time"),
+
+
+def message_rows(msg: DataFrame) -> DataFrame:
+    """(time, user_id, sums): a row for each message."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    return msg.select(
+        "time",
         "user_id",
         none.alias("feed_events"),
         none.alias("likes"),
         none.alias("views"),
-        F.lit(1).cast("long").alias("messages_sent"),
-    )
-    sums = ["feed_events", "likes", "views", "messages_sent"]
-    by_user = (
-        feed_rows.unionByName(msg_rows)
-        .groupBy(bucket_start(), "user_id")
-        .agg(*[total(name) for name in sums])
+        one.alias("messages_sent"),
     )
+
+
+def full_metrics() -> list[Column]:
+    """The aggregates of a bucket, over its users' sums; CTR follows from likes and views."""
     known = F.col("user_id").isNotNull()
-    by_bucket = by_user.groupBy("bucket").agg(
+    return [
         F.count_if(known & (F.col("feed_events") > 0)).alias("dau"),
         total("likes"),
         total("views"),
         F.count_if(known & (F.col("messages_sent") > 0)).alias("message_users"),
         total("messages_sent"),
-    )
-    columns = [c if c != "ctr" else ctr_percent() for c in ALL_METRICS]
-    return by_bucket.select(*bucket_labels(), *columns).orderBy("date", "minutes")
+    ]
+
+
+def full_columns() -> list[Column]:
+    return [F.col(c) if c != "ctr" else ctr_percent() for c in ALL_METRICS]
+
+
+def activity_15min_full(feed: DataFrame, msg: DataFrame, as_of_ts: datetime) -> DataFrame:
+    """As ``activity_15min`` with CTR, messenger users and messages sent.
+
+    Both services are reduced to (bucket, user) together, which makes the full
+    outer join of their buckets unnecessary.
+    """
+    span = closed_span(as_of_ts)
+    return full_series(time_span(feed, *span), time_span(msg, *span)).orderBy("date", "minutes")
+
+
+def full_series(feed: DataFrame, msg: DataFrame) -> DataFrame:
+    """All six metrics of every bucket that has events of either service."""
+    rows = feed_rows(feed).unionByName(message_rows(msg))
+    by_user = rows.groupBy(bucket_start(), "user_id").agg(*[total(name) for name in USER_SUMS])
+    by_bucket = by_user.groupBy("bucket").agg(*full_metrics())
+    return by_bucket.select(*bucket_labels(), *full_columns())
 
 
 def _series_order() -> WindowSpec:

@@ -93,10 +93,9 @@ def extend_first_seen(
         new = both.groupBy("user_id").agg(
             F.min("first_action").alias("first_action"), F.sum("events").alias("events"), F.max("salted").alias("salted")
         )
-    # One row on the right: all events.
-    judged = new.crossJoin(F.broadcast(new.agg(F.sum("events").alias("all_events"))))
-    salted = F.col("salted") | F.coalesce(F.col("events") * hot_users > F.col("all_events"), F.lit(False))
-    rows = judged.withColumn("salted", salted).select(
+    all_events = new.agg(F.sum("events")).scalar()
+    salted = F.col("salted") | F.coalesce(F.col("events") * hot_users > all_events, F.lit(False))
+    rows = new.withColumn("salted", salted).select(
         "user_id",
         F.explode(F.sequence(F.lit(0), F.when(F.col("salted"), F.lit(salts)).otherwise(F.lit(0)))).alias("salt"),
         "first_action",

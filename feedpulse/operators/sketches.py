@@ -83,26 +83,25 @@ def users_in_window(
     Every day's sketch goes to the windows it is in, at most ``n``; no window reads events.
     """
     _, _, estimate = _DISTINCT[kind]
-    last = sketches.agg(F.max("date").alias("last"))
+    last = sketches.agg(F.max("date")).scalar()
     ends = F.sequence(F.lit(0), F.lit(n - 1))
     shifted = sketches.select(
         F.explode(F.transform(ends, lambda i: F.date_add("date", i))).alias("date"), *KEYS[1:], "users"
     )
-    # One row on the right.
-    inside = shifted.join(F.broadcast(last), (F.col("date") <= F.col("last")) & (F.datediff("last", "date") % step == 0))
+    inside = shifted.where((F.col("date") <= last) & (F.datediff(last, "date") % step == 0))
     return united(inside, *KEYS, lg_k=lg_k, kind=kind).select(*KEYS, estimate("users").alias("estimate"))
 
 
 def exact_users_in_window(actions: DataFrame, dimensions: Sequence[str], n: int = 7) -> DataFrame:
     """What ``users_in_window`` estimates, by counting: each user's day goes to ``n`` windows."""
     rows = dimension_rows(actions, dimensions).distinct()
-    last = rows.agg(F.max("date").alias("last"))
+    last = rows.agg(F.max("date")).scalar()
     shifted = rows.select(
         F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.date_add("date", i))).alias("date"),
         *KEYS[1:],
         "user_id",
     )
-    inside = shifted.distinct().join(F.broadcast(last), F.col("date") <= F.col("last"))
+    inside = shifted.distinct().where(F.col("date") <= last)
     return inside.groupBy(*KEYS).agg(F.count("*").alias("users"))
 
 

@@ -11,10 +11,25 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 
 from feedpulse.functions.dates import days
-from feedpulse.operators import alerts, dashboards, experiments, reports, retention, rollup, user_weeks
+from feedpulse.operators import (
+    alerts,
+    dashboards,
+    day_totals,
+    experiments,
+    reports,
+    retention,
+    rollup,
+    user_weeks,
+)
 from feedpulse.operators.rollup import dims_with_day
 from feedpulse.sources.scratch import stored
-from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write, read_dims, write_dims
+from feedpulse.sources.writers import (
+    daily_rollup_commit,
+    daily_rollup_save,
+    daily_rollup_write,
+    read_dims,
+    write_dims,
+)
 
 BINS = 20
 
@@ -26,9 +41,13 @@ def daily_rollup(
     path: str | None = None,
     table: str | None = None,
     dims_path: str | None = None,
+    versioned_path: str | None = None,
 ) -> DataFrame:
     """Compute the roll-up of the day before ``as_of`` once, store it by path and/or table, hand it back.
 
+    Under ``versioned_path`` the day is replaced at once (``daily_rollup_read`` reads it); a plain path
+    or table lacks the day for a moment.
+
     Users' dimensions come from the feed history up to that day. With ``dims_path``
     they are kept there, as they were before each day: yesterday's copy and the one
     new day make today's, and the history is not read again. A missing copy of
@@ -43,6 +62,8 @@ def daily_rollup(
     rows = stored(rollup.daily_rollup_final(feed, msg, as_of, known_dims=known), "daily-rollup")
     if path is not None:
         daily_rollup_write(rows, path, event_date=as_of - days(1))
+    if versioned_path is not None:
+        daily_rollup_commit(rows, versioned_path, as_of - days(1))
     if table is not None:
         daily_rollup_save(rows, table, event_date=as_of - days(1))
     return rows
@@ -103,6 +124,14 @@ def dashboard_tables(feed: DataFrame, msg: DataFrame, as_of: date) -> dict[str,
     }
 
 
+def dashboard_days(feed: DataFrame, msg: DataFrame, as_of: date, path: str) -> dict[str, DataFrame]:
+    """The tables over all days, from the daily totals kept under ``path``, after rebuilding the days
+    marked by ``day_totals.mark_dirty``."""
+    day_totals.refresh(feed, msg, path)
+    totals = day_totals.read_totals(feed.sparkSession, path)
+    return {"activity": day_totals.activity_change(totals, as_of), "overlap": day_totals.service_overlap(totals)}
+
+
 def feed_report(feed: DataFrame, as_of: date) -> dict[str, DataFrame]:
     """The feed report: one row of key values and the week's series for the charts."""
     daily = stored(reports.feed_daily_metrics(feed, as_of), "feed-daily")

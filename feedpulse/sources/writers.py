@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedpulse.functions.dates import DAY_PARTITION, event_day
+from feedpulse.sources import versions
 from feedpulse.sources.schema import DAILY_ROLLUP
 
 
@@ -68,6 +69,27 @@ def daily_rollup_create(spark: SparkSession, table: str) -> None:
     )
 
 
+def daily_rollup_commit(rollup: DataFrame, path: str, event_date: date) -> int:
+    """Store the roll-up of ``event_date`` in a table of versions, replacing that day at once; the version.
+
+    A run that stops leaves the day as it was. ``daily_rollup_read`` is for readers.
+    """
+    rows = rollup.select(*DAILY_ROLLUP.fieldNames()).where(F.col("event_date") == F.lit(event_date))
+    return versions.replace(path, {event_date.isoformat(): rows})
+
+
+def daily_rollup_read(
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """The roll-up of the days first..last as of the newest version; either side may be open."""
+    wanted = [
+        day
+        for day in versions.parts(spark, path)
+        if (first is None or day >= first.isoformat()) and (last is None or day <= last.isoformat())
+    ]
+    return versions.read(spark, path, DAILY_ROLLUP, wanted)
+
+
 def daily_rollup_save(rollup: DataFrame, table: str, event_date: date | None = None) -> None:
     """Put the roll-up into a catalog table, replacing ``event_date`` or else the days it contains."""
     spark = rollup.sparkSession

@@ -12,7 +12,13 @@ from feedpulse.plans import jobs
 from tests.conftest import SMALL
 
 AS_OF = date(2024, 1, 31)
-RUN_STREAMS = {"activity_15min_stream", "anomaly_alerts_stream", "daily_rollup_write"}
+RUN_STREAMS = {
+    "activity_15min_stream",
+    "activity_15min_full_stream",
+    "activity_15min_corrected",
+    "anomaly_alerts_stream",
+    "daily_rollup_write",
+}
 
 
 @pytest.fixture(scope="module")
