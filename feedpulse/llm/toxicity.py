@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,7 +32,6 @@ from feedpulse.llm.arrow import added, as_bytes, clear_of, slices
 from feedpulse.sources.scratch import stored
 
 SAMPLE = 20_000
-LEXICON = 2_000
 FOLDS = 5
 #: A term's length from which one edit is let pass.
 FUZZY_FROM = 5
@@ -51,7 +51,12 @@ REPORTING = set(
     "said says wrote writes called quoted quote sagte schrieb nannte zitat dit écrit appelé citation"
     " dijo escribió llamó cita".split()
 )
-QUOTED = re.compile(r"\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“\n]{1,400}“")
+#: Quotation marks and what closes them. Straight ones and single ones also occur as other signs.
+CLOSED_BY = {
+    '"': '"', "'": "'", "“": "”", "„": "“”", "‟": "”", "«": "»", "»": "«", "‘": "’", "‚": "‘’", "‹": "›", "›": "‹",
+}
+AMBIGUOUS = set("\"'‘’")
+MARK = re.compile("[\"'“”„‟«»‘’‚‹›]|\n[^\\S\n]*\n")
 KNOWN_WORDS = 50_000
 
 
@@ -59,6 +64,30 @@ def words_of(text: bytes) -> list[str]:
     return WORD.findall(text.decode("utf-8", "replace").lower())
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Where quotations stand, however long; one that is not closed ends at a blank line and does not count.
+
+    A straight or single mark opens before a word and not after a letter, and closes
+    not after a space and not before a letter, so apostrophes and inches are neither.
+    """
+    out: list[tuple[int, int]] = []
+    closers, start = "", 0
+    for found in MARK.finditer(text):
+        at, mark = found.start(), found.group()
+        if mark[0] == "\n":
+            closers = ""
+            continue
+        before, after = text[at - 1 : at] if at else "", text[at + 1 : at + 2]
+        sure = mark not in AMBIGUOUS
+        if closers:
+            if mark in closers and (sure or not (before.isspace() or after.isalnum())):
+                out.append((start, at + 1))
+                closers = ""
+        elif mark in CLOSED_BY and (sure or not (before.isalnum() or not after or after.isspace())):
+            closers, start = CLOSED_BY[mark], at
+    return out
+
+
 class Matcher:
     """The lexicon's trie intersected with Levenshtein automata of one edit."""
 
@@ -169,7 +198,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(raw, toxic) of at most ``sample`` labelled ids outside the held-out fold; stored."""
+    """(raw, toxic): at most ``sample`` rows, one for each of as many labelled ids outside the held-out fold; stored.
+
+    Of several texts of an id, the first by a hash counts.
+    """
     chosen = (
         labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -178,7 +210,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         .limit(sample)
     )
     texts = docs.select("doc_id", as_bytes("text").alias("raw"))
-    return stored(texts.join(F.broadcast(chosen), "doc_id").select("raw", "toxic"), "labelled")
+    first = F.min_by("raw", F.struct(F.xxhash64("raw"), F.col("raw"))).alias("raw")
+    own = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(first, F.max("toxic").alias("toxic"))
+    return stored(own.select("raw", "toxic"), "labelled")
 
 
 def _terms(words: list[str]) -> Iterator[str]:
@@ -243,6 +277,8 @@ def shortened(found: dict[str, tuple[int, float]]) -> dict[str, float]:
     """
     out: dict[str, float] = {}
     by_text = sorted(found, key=lambda t: (len(t.rstrip("*")), t))
+    in_order = sorted(found, key=lambda t: (t.rstrip("*"), t))
+    bare_in_order = [t.rstrip("*") for t in in_order]
     taken: set[str] = set()
     for term in by_text:
         bare = term.rstrip("*")
@@ -251,7 +287,11 @@ def shortened(found: dict[str, tuple[int, float]]) -> dict[str, float]:
         if not term.endswith("*"):
             out[term] = found[term][1]
             continue
-        longer = [t for t in by_text if t != term and t.startswith(bare) and found[t][0] >= 0.9 * found[term][0]]
+        longer, at = [], bisect_left(bare_in_order, bare)
+        while at < len(in_order) and bare_in_order[at].startswith(bare):
+            if in_order[at] != term and found[in_order[at]][0] >= 0.9 * found[term][0]:
+                longer.append(in_order[at])
+            at += 1
         best = max(longer, key=lambda t: (len(t.rstrip("*")), not t.endswith("*")), default=term)
         out[best] = found[best][1]
         taken.add(bare)
@@ -259,7 +299,7 @@ def shortened(found: dict[str, tuple[int, float]]) -> dict[str, float]:
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Terms (stems with a star) and their weights, ``LEXICON`` at most, the strongest first."""
+    """Terms (stems with a star) and their weights. The sample's bound is theirs too."""
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = n.get(1, 0) + 1, n.get(0, 0) + 1
     weight = F.log((F.col("support") + 0.5) / bad) - F.log((F.col("clean") + 0.5) / good)
@@ -273,7 +313,6 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
         .where(F.col("weight") >= math.log(LEAST_RATIO))
         .where(F.col("support") >= PURITY * F.col("clean"))
         .orderBy(F.desc("support"), "term")
-        .limit(LEXICON)
         .collect()
     )
     return shortened({r["term"]: (r["support"], r["weight"]) for r in rows})
@@ -306,7 +345,7 @@ class Scorer:
         if not hits:
             return [0.0] * FEATURES
         places = [m.start() for m in WORD.finditer(string)]
-        quotes = [m.span() for m in QUOTED.finditer(string)] if len(hits) else []
+        quotes = quotations(string)
         abuse, quotation, wrong = {}, {}, {}
         open_hits = []
         at = 0

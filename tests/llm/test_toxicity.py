@@ -127,3 +127,47 @@ def test_a_match_weighs_less_in_a_long_text():
     quoted = scorer.features(b'"blargh" ' + b"calm " * 20)
     assert quoted[4] == quoted[5] == 0
     assert scorer.features(b"") == [0.0] * tox.FEATURES
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("he said 'you are a fool' and left", ["'you are a fool'"]),
+        ("the dogs' bowl isn't 'here", []),
+        ("it's 5\" wide and \"that is it\"", ['"that is it"']),
+        ("« a b » c »d e« „f g“ “h i” ‚j‘", ["« a b »", "»d e«", "„f g“", "“h i”", "‚j‘"]),
+        ('"a\n\nb" c "d\ne"', ['"d\ne"']),
+        ('x "' + "word " * 200 + 'end" y', ['"' + "word " * 200 + 'end"']),
+        ("l'homme 'qu'il' a", ["'qu'il'"]),
+        ("", []),
+    ],
+)
+def test_quotations(text, want):
+    assert [text[a:b] for a, b in toxicity.quotations(text)] == want
+
+
+def test_quotations_of_any_length_are_told_from_abuse():
+    scorer = toxicity.Scorer({"nastyword": 3.0}, set(), np.zeros(toxicity.FEATURES + 1))
+    filler = "and so on " * 60
+    for opening, closing in (('"', '"'), ("'", "'"), ("“", "”"), ("«", "»")):
+        for quoted in (f"{opening}you nastyword {filler}{closing}", f"{opening}you\nnastyword you{closing}"):
+            features = scorer.features(f"Here they {quoted} it ends".encode())
+            assert features[0] == 0 and features[1] > 0
+    assert scorer.features(b'"and then \n\n you nastyword" she')[0] > 0
+
+
+def test_terms_are_not_capped_and_shortened_all():
+    found = {f"{a}{b}{c}word": (5, 1.0) for a in "abcdefghijklmnop" for b in "abcdefghijklmno" for c in "abcdefghijkl"}
+    assert len(found) > 2_000 and toxicity.shortened(found) == {t: 1.0 for t in found}
+    stems = {"nast*": (10, 1.0), "nasty*": (10, 2.0), "nastyword": (9, 3.0), "nastier": (2, 1.0), "calm*": (4, 1.0)}
+    assert toxicity.shortened(stems) == {"calm*": 1.0, "nastyword": 3.0}
+
+
+def test_one_row_for_each_labelled_id(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('text ', id % 7) AS text")
+    docs = docs.unionByName(spark.range(5_000).selectExpr("1L AS doc_id", "concat('copy ', id) AS text"))
+    labels = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    rows = toxicity.labelled_sample(docs, labels, 20).collect()
+    assert len(rows) == 20
+    everything = toxicity.labelled_sample(docs, labels).collect()
+    assert len(everything) == labels.where(~toxicity.held_out(toxicity.F.col("doc_id"))).count()
