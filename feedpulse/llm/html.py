@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -79,10 +80,13 @@ MAIN_NAMES = ("article", "main")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</(?P<close>[A-Za-z][^\s>/]*)[^>]*(?:>|\Z)"
-    r"|<(?P<open>[A-Za-z][^\s>/]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)",
+    # Attributes as a browser reads them: a quote opens a value right after "=" only, elsewhere it is a letter.
+    r"|<(?P<open>[A-Za-z][^\s>/]*)(?P<attributes>(?>[\s/]+|[^\s/>=]+(?>\s*=\s*"
+    r"(?>\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)?)?|=)*+)(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>\"'][^\s>]*))?)?")
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*\Z").search
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -104,11 +108,13 @@ def _id_marks(name: str, token: str) -> bool:
 
 
 class Element:
-    """An open element: its name, its name in paths, and whether it is left out."""
+    """An open element: its name, its name in paths, and what it and those around it say of text within."""
 
-    __slots__ = ("hidden", "name", "path")
+    __slots__ = (
+        "article", "block", "header", "here", "hidden", "link", "main", "match", "name", "outer", "path", "raw", "titled",
+    )
 
-    def __init__(self, name: str, attributes: str, parents: list[Element]) -> None:
+    def __init__(self, name: str, attributes: str, parent: Element | None) -> None:
         given = {
             m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)
         } if attributes.strip() else {}
@@ -119,9 +125,9 @@ class Element:
         kind = kind or ("role-" + role if role else "")
         self.name = name
         self.path = f"{name}.{kind}" if kind else name
-        within = any(p.name in MAIN_NAMES or p.path.endswith("role-main") for p in parents)
+        within = parent is not None and parent.main
         # A header within an article holds its title.
-        self.hidden = (
+        own = (
             name in LEFT_OUT
             or (name == "header" and not within)
             or role in ROLES_OUT
@@ -130,6 +136,31 @@ class Element:
             or given.get("aria-hidden") == "true"
             or "display:none" in given.get("style", "").replace(" ", "").lower()
         )
+        # Handed down, so that no text looks through all elements around it.
+        of = lambda flag: parent is not None and getattr(parent, flag)
+        self.hidden = own or of("hidden")
+        self.main = within or name in MAIN_NAMES or self.path.endswith("role-main")
+        self.article = name == "article" or of("article")
+        self.header = name == "header" or of("header")
+        self.link = name == "a" or of("link")
+        self.titled = name == "p" or name in HEADINGS or of("titled")
+        self.raw = name in RAW or of("raw")
+        self.block = name if name not in INLINE else (parent.block if parent is not None else "")
+        self.match = 0
+        # The innermost element here that isn't inline, and the one around that.
+        self.here = self if name not in INLINE else (parent.here if parent is not None else None)
+        self.outer = parent.here if parent is not None else None
+
+    def place(self) -> str:
+        """The path from the page's outermost element; inline elements aren't part of paths."""
+        out, at = [], self.here
+        while at is not None:
+            out.append(at.path)
+            at = at.outer
+        return "/".join(reversed(out))
+
+
+OUTSIDE = Element("span", "", None)
 
 
 def parsed(page: str) -> Iterator[tuple[str, list[Element], str]]:
@@ -140,7 +171,18 @@ def parsed(page: str) -> Iterator[tuple[str, list[Element], str]]:
     elements go to the end.
     """
     stack: list[Element] = []
+    opened: Counter[str] = Counter()
     at, n = 0, len(page)
+
+    def push(name: str, attributes: str) -> None:
+        stack.append(Element(name, attributes, stack[-1] if stack else None))
+        opened[name] += 1
+
+    def pop() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        return name
+
     while at < n:
         m = TOKEN.search(page, at)
         end = m.start() if m else n
@@ -151,41 +193,36 @@ def parsed(page: str) -> Iterator[tuple[str, list[Element], str]]:
         at = m.end()
         if m["open"]:
             name = m["open"].lower()
-            while stack and name in CLOSED_BY.get(_block(stack), ()):
+            while stack and name in CLOSED_BY.get(stack[-1].block, ()):
                 while stack:
                     yield "close", stack, stack[-1].name
-                    if stack.pop().name not in INLINE:
+                    if pop() not in INLINE:
                         break
-            stack.append(Element(name, m["attributes"], stack))
+            push(name, m["attributes"])
             yield "open", stack, name
-            if name in VOID or m["attributes"].endswith("/"):
+            if name in VOID or SELF_CLOSED(m["attributes"]):
                 yield "close", stack, name
-                stack.pop()
+                pop()
             elif name in RAW:
                 close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 end = close.start() if close else n
                 if end > at:
                     yield "text", stack, page[at:end]
                 yield "close", stack, name
-                stack.pop()
+                pop()
                 at = close.end() if close else n
         elif m["close"]:
             name = m["close"].lower()
-            if any(e.name == name for e in stack):
+            if opened[name]:
                 while stack:
                     yield "close", stack, stack[-1].name
-                    if stack.pop().name == name:
+                    if pop() == name:
                         break
             elif name == "br":
-                stack.append(Element(name, "", stack))
+                push(name, "")
                 yield "open", stack, name
                 yield "close", stack, name
-                stack.pop()
-
-
-def _block(stack: list[Element]) -> str:
-    """The innermost element that isn't inline."""
-    return next((e.name for e in reversed(stack) if e.name not in INLINE), "")
+                pop()
 
 
 # Wrappers: lists of tokens; a token is a tag, "#" for a text slot, or (sign, tokens).
@@ -196,8 +233,7 @@ def form(page: str) -> list[str]:
     out: list[str] = []
     for kind, stack, value in parsed(page):
         if kind == "text":
-            inside = not any(e.name in RAW for e in stack)
-            if inside and value.strip() and (not out or out[-1] != "#"):
+            if not (stack and stack[-1].raw) and value.strip() and (not out or out[-1] != "#"):
                 out.append("#")
         elif value not in INLINE and value not in ("br", "wbr"):
             out.append(f"<{stack[-1].path}>" if kind == "open" else f"</{value}>")
@@ -358,10 +394,10 @@ def region_mass(page: str) -> dict[str, int]:
     """For each path outside what is left out, its text's length, that of links counted against it."""
     mass: dict[str, int] = {}
     for kind, stack, value in parsed(page):
-        if kind == "text" and value.strip() and not any(e.hidden for e in stack):
-            path = "/".join(e.path for e in stack if e.name not in INLINE)
-            size = len(value.strip())
-            mass[path] = mass.get(path, 0) + (-size if any(e.name == "a" for e in stack) else size)
+        around = stack[-1] if stack else OUTSIDE
+        if kind == "text" and value.strip() and not around.hidden:
+            path, size = around.place(), len(value.strip())
+            mass[path] = mass.get(path, 0) + (-size if around.link else size)
     return mass
 
 
@@ -414,25 +450,29 @@ def extracted(page: str, region: str) -> str:
     named: list[list[str]] = [[]]
     for kind, stack, value in parsed(page):
         if kind != "text":
+            if kind == "open" and wanted:
+                # How much of the region's path has been gone, -1 off it; inline elements aren't part of paths.
+                own, gone = stack[-1], stack[-2].match if len(stack) > 1 else 0
+                if own.name not in INLINE and 0 <= gone < len(wanted):
+                    gone = gone + 1 if own.path == wanted[gone] else -1
+                own.match = gone
             if value not in INLINE:
                 for blocks in (whole, inside, named):
                     if blocks[-1]:
                         blocks.append([])
             continue
-        if any(e.hidden for e in stack):
+        around = stack[-1] if stack else OUTSIDE
+        if around.hidden:
             continue
         # Links in an article's header lead elsewhere, unless they stand in its title or standfirst.
-        names = {e.name for e in stack}
-        if {"header", "a"} <= names and not names & {"p", *HEADINGS}:
+        if around.header and around.link and not around.titled:
             continue
         text = html.unescape(value)
         whole[-1].append(text)
-        if any(e.name == "article" for e in stack):
+        if around.article:
             named[-1].append(text)
-        if wanted:
-            paths = [e.path for e in stack if e.name not in INLINE]
-            if paths[: len(wanted)] == wanted:
-                inside[-1].append(text)
+        if wanted and around.match == len(wanted):
+            inside[-1].append(text)
     for blocks in (named, inside, whole):
         lines = [" ".join("".join(b).split()) for b in blocks]
         text = "\n".join(x for x in lines if x)

@@ -1,5 +1,6 @@
 import html as references
 import re
+import time
 
 import pytest
 
@@ -156,3 +157,32 @@ def test_groups_of_a_host_with_many_forms(spark):
     assert main_region("", mass) == row["region"]
     rows = html.main_text(pages.limit(5)).collect()
     assert {r["text"] for r in rows} == {"T\nmany words"}
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><p title=it's>Hello we don't stop</p><p>x</p></article>", "Hello we don't stop\nx"),
+        ('<article><p>a</p><img alt=5"><p>b "q" c</p></article>', 'a\nb "q" c'),
+        ("<article><p class=\"a>b\" x='y>z'>t</p><a href=/x/>link</a> more</article>", "t\nlink more"),
+        ('<article><p "foo>a</p><p a=>b</p><p = >c</p><p a = "1"b=2>d</p></article>', "a\nb\nc\nd"),
+        ('<article>a<p b="x>y', "a"),
+        ("<article>a<br/>b<div class='x'/>c</div></article>", "a\nb\nc"),
+    ],
+)
+def test_attributes_as_a_browser_reads_them(page, want):
+    assert html.extracted(page, "") == want
+
+
+def seconds(page):
+    start = time.process_time()
+    html.extracted(page, "div")
+    html.form(page)
+    return time.process_time() - start
+
+
+@pytest.mark.parametrize("tag", ["<b>", "<div>", "<p a='", "<a b", "<p a=\" "])
+def test_time_grows_with_the_page(tag):
+    text = (tag + "w ") * 3_000
+    seconds(text)
+    assert seconds(text * 8) < 30 * max(seconds(text), 0.02)

@@ -143,11 +143,11 @@ def test_a_match_weighs_less_in_a_long_text():
     ],
 )
 def test_quotations(text, want):
-    assert [text[a:b] for a, b in toxicity.quotations(text)] == want
+    assert [text[a:b] for a, b in tox.quotations(text)] == want
 
 
 def test_quotations_of_any_length_are_told_from_abuse():
-    scorer = toxicity.Scorer({"nastyword": 3.0}, set(), np.zeros(toxicity.FEATURES + 1))
+    scorer = tox.Scorer({"nastyword": 3.0}, set(), np.zeros(tox.FEATURES + 1))
     filler = "and so on " * 60
     for opening, closing in (('"', '"'), ("'", "'"), ("“", "”"), ("«", "»")):
         for quoted in (f"{opening}you nastyword {filler}{closing}", f"{opening}you\nnastyword you{closing}"):
@@ -158,16 +158,16 @@ def test_quotations_of_any_length_are_told_from_abuse():
 
 def test_terms_are_not_capped_and_shortened_all():
     found = {f"{a}{b}{c}word": (5, 1.0) for a in "abcdefghijklmnop" for b in "abcdefghijklmno" for c in "abcdefghijkl"}
-    assert len(found) > 2_000 and toxicity.shortened(found) == {t: 1.0 for t in found}
+    assert len(found) > 2_000 and tox.shortened(found) == {t: 1.0 for t in found}
     stems = {"nast*": (10, 1.0), "nasty*": (10, 2.0), "nastyword": (9, 3.0), "nastier": (2, 1.0), "calm*": (4, 1.0)}
-    assert toxicity.shortened(stems) == {"calm*": 1.0, "nastyword": 3.0}
+    assert tox.shortened(stems) == {"calm*": 1.0, "nastyword": 3.0}
 
 
 def test_one_row_for_each_labelled_id(spark):
     docs = spark.range(40).selectExpr("id AS doc_id", "concat('text ', id % 7) AS text")
     docs = docs.unionByName(spark.range(5_000).selectExpr("1L AS doc_id", "concat('copy ', id) AS text"))
     labels = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
-    rows = toxicity.labelled_sample(docs, labels, 20).collect()
+    rows = tox.labelled_sample(docs, labels, 20).collect()
     assert len(rows) == 20
-    everything = toxicity.labelled_sample(docs, labels).collect()
-    assert len(everything) == labels.where(~toxicity.held_out(toxicity.F.col("doc_id"))).count()
+    everything = tox.labelled_sample(docs, labels).collect()
+    assert len(everything) == labels.where(~tox.held_out(tox.F.col("doc_id"))).count()
