@@ -21,6 +21,7 @@ from feedpulse.operators import (  # noqa: E402
     day_totals,
     experiments,
     first_seen,
+    kept_bootstrap,
     reports,
     retention,
     rollup,
@@ -157,6 +158,14 @@ def retention_kept(source: str, digits: int | None = None) -> Query:
     return run
 
 
+def kept_replicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The week's bootstrap from sums kept in three steps, the first day twice."""
+    feed, path, (first, last) = feed_actions(spark, folder), scratch_path(spark, "bootstrap"), AB_WEEK
+    for start, end in ((first, first), (first + days(1), last), (first, first)):
+        kept_bootstrap.keep_days(feed, path, start, end, (1, 2), REPLICATES, SEED)
+    return rounded(kept_bootstrap.bootstrap(spark, path, first, last))
+
+
 def uniq_in_week(feed: DataFrame) -> DataFrame:
     """Users of the last seven days, counted, and whether kept daily sketches tell as much within their bound."""
     dimensions = ("os", "source", "gender")
@@ -377,6 +386,7 @@ def product_queries() -> dict[str, Query]:
             lambda f: experiments.metric_histogram(rounded(resampled(f, 2, 3)), "p_value", BINS)
         ),
         "poisson_bootstrap": on_feed(lambda f: bootstrapped(f, 1, 2)),
+        "poisson_bootstrap_kept": kept_replicates,
         "bootstrap_summary": on_feed(
             lambda f: experiments.bootstrap_summary(bootstrapped(f, 1, 2), 1, 2)
         ),
