@@ -223,14 +223,14 @@ def streamed_full_activity(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{base}/series"))
 
 
-def corrected_activity(spark: SparkSession, folder: str) -> DataFrame:
+def corrected_run(spark: SparkSession, folder: str) -> str:
     """The events arrive in no order at all, in eight files and four steps."""
     base, events = scratch_path(spark, "corrected"), sample.read_events(spark, folder)
     events.repartition(8, F.xxhash64("event_id")).write.parquet(f"{base}/incoming")
     arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/incoming")
     feed, msg = sample.feed_from_events(arriving), sample.messages_from_events(arriving)
     both_services.corrected_activity(feed, msg, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return rounded(both_services.corrected_series(spark, f"{base}/out"))
+    return f"{base}/out"
 
 
 def aa_users(feed: DataFrame, *groups: int) -> DataFrame:
@@ -286,6 +286,7 @@ def product_queries() -> dict[str, Query]:
         "activity_15min": on_feed(lambda f: alerts.activity_15min(f, AS_OF_TS)),
         "activity_15min_filled": on_feed(lambda f: alerts.activity_15min(f, AS_OF_TS, fill=True)),
         "activity_15min_full": on_both(lambda f, m: alerts.activity_15min_full(f, m, AS_OF_TS)),
+        "activity_15min_full_filled": on_both(lambda f, m: alerts.activity_15min_full(f, m, AS_OF_TS, fill=True)),
         "iqr_bands": on_feed(bands),
         "iqr_bands_full": on_both(full),
         "anomaly_alerts": on_feed(lambda f: alerts.anomaly_alerts(bands(f, ALERT_TS))),
@@ -294,7 +295,12 @@ def product_queries() -> dict[str, Query]:
         "anomaly_backtest": on_feed(lambda f: alerts.anomaly_backtest(alerts.activity_series(f))),
         "activity_15min_stream": streamed_activity,
         "activity_15min_full_stream": streamed_full_activity,
-        "activity_15min_corrected": corrected_activity,
+        "activity_15min_corrected": lambda spark, folder: rounded(
+            both_services.corrected_series(spark, corrected_run(spark, folder))
+        ),
+        "anomaly_alerts_corrected": lambda spark, folder: rounded(
+            both_services.corrected_alerts(spark, corrected_run(spark, folder))
+        ),
         "anomaly_alerts_stream": streamed_alerts,
         # Reports
         "feed_daily_metrics": on_feed(lambda f: reports.feed_daily_metrics(f, AS_OF)),

@@ -54,8 +54,8 @@ def activity_series(
     return by_bucket.select(*bucket_labels(), *FEED_METRICS)
 
 
-def fill_gaps(series: DataFrame) -> DataFrame:
-    """Add the buckets without events, with zeros, between the first and the last one.
+def fill_gaps(series: DataFrame, metrics: Sequence[str] = FEED_METRICS) -> DataFrame:
+    """Add the buckets without events, with zeros (and no CTR), between the first and the last one.
 
     Every bucket is repeated up to the next one in the series. The window has no
     partition key; its rows are buckets.
@@ -70,7 +70,10 @@ def fill_gaps(series: DataFrame) -> DataFrame:
     original = F.col("bucket") == F.col("at")
     return buckets.select(
         *bucket_labels(),
-        *[F.when(original, F.col(m)).otherwise(F.lit(0)).alias(m) for m in FEED_METRICS],
+        *[
+            (F.when(original, F.col(m)) if m == "ctr" else F.when(original, F.col(m)).otherwise(F.lit(0))).alias(m)
+            for m in metrics
+        ],
     )
 
 
@@ -129,14 +132,15 @@ def full_columns() -> list[Column]:
     return [F.col(c) if c != "ctr" else ctr_percent() for c in ALL_METRICS]
 
 
-def activity_15min_full(feed: DataFrame, msg: DataFrame, as_of_ts: datetime) -> DataFrame:
+def activity_15min_full(feed: DataFrame, msg: DataFrame, as_of_ts: datetime, fill: bool = False) -> DataFrame:
     """As ``activity_15min`` with CTR, messenger users and messages sent.
 
     Both services are reduced to (bucket, user) together, which makes the full
     outer join of their buckets unnecessary.
     """
     span = closed_span(as_of_ts)
-    return full_series(time_span(feed, *span), time_span(msg, *span)).orderBy("date", "minutes")
+    series = full_series(time_span(feed, *span), time_span(msg, *span))
+    return (fill_gaps(series, ALL_METRICS) if fill else series).orderBy("date", "minutes")
 
 
 def full_series(feed: DataFrame, msg: DataFrame) -> DataFrame:

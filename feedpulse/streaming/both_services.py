@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedpulse.functions.measures import total
 from feedpulse.operators.alerts import (
+    ALL_METRICS,
     BUCKET,
     USER_SUMS,
+    anomaly_backtest,
     bucket_labels,
     bucket_start,
     feed_rows,
@@ -215,3 +218,13 @@ def corrected_series(spark: SparkSession, path: str) -> DataFrame:
     """The newest revision of every closed bucket, in the form of ``alerts.activity_15min_full``."""
     newest = revisions(spark, path).groupBy("bucket").agg(F.max_by(F.struct(*SUMS), "batch_id").alias("newest"))
     return newest.select("bucket", "newest.*").select(*bucket_labels(), *full_columns())
+
+
+def corrected_alerts(
+    spark: SparkSession, path: str, metrics: Sequence[str] = ALL_METRICS, a: float = 4, n: int = 6
+) -> DataFrame:
+    """The anomalous buckets of the series as it stands now: late events may make or withdraw an alert.
+
+    Judged on what was known of earlier buckets only, as ``alerts.anomaly_backtest`` does. The series has 96 rows a day.
+    """
+    return anomaly_backtest(corrected_series(spark, path), metrics, a, n).where("is_alert")

@@ -12,6 +12,7 @@ from feedpulse.plans import jobs
 from feedpulse.sources.readers import read_actions, read_actions_table, stream_actions
 from feedpulse.sources.scratch import clear
 from feedpulse.streaming.activity import anomaly_alerts_stream
+from feedpulse.streaming.both_services import corrected_activity
 
 
 def arguments() -> argparse.Namespace:
@@ -31,6 +32,7 @@ def arguments() -> argparse.Namespace:
     rollup = command("daily-rollup", "roll-up of the day before --as-of", messages=True)
     rollup.add_argument("--as-of", type=day, required=True)
     rollup.add_argument("--dims", help="folder that keeps the users' dimension values")
+    rollup.add_argument("--versioned", action="store_true", help="replace the day at once, in a table of versions")
     rollup.add_argument("--backfill", action="store_true", help="make yesterday's --dims from the history first")
     alerts = command("alerts", "alerts for the last closed bucket before --as-of, and their bands")
     alerts.add_argument("--as-of", type=datetime.fromisoformat, required=True)
@@ -43,7 +45,11 @@ def arguments() -> argparse.Namespace:
         ("weekly", "weekly status and retention", False),
         ("dashboards", "tables behind the dashboards", True),
     ):
-        command(name, help, messages).add_argument("--as-of", type=day, required=True)
+        sub = command(name, help, messages)
+        sub.add_argument("--as-of", type=day, required=True)
+        if name == "weekly":
+            sub.add_argument("--state", help="folder that keeps users' weeks; only the last week's events are read then")
+            sub.add_argument("--since", type=day, help="bring in all weeks from this day, at first or for late events")
     command("campaign", "campaign retention").add_argument("--date", type=day, required=True)
     for name in ("aa", "ab"):
         test = command(name, f"{name.upper()} test")
@@ -59,6 +65,9 @@ def arguments() -> argparse.Namespace:
     stream = command("alert-stream", "check every bucket of a stream of files as it closes")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--every", help="processing time, e.g. '15 minutes'; else work off the backlog")
+    both = command("activity-stream", "six metrics of each bucket as it closes, corrected for late events", messages=True)
+    both.add_argument("--checkpoint", required=True)
+    both.add_argument("--every", help="processing time; else work off the backlog")
     return parser.parse_args()
 
 
@@ -85,13 +94,22 @@ def main() -> None:
         ).awaitTermination()
         return
 
+    if args.job == "activity-stream":
+        streams = [
+            stream_actions(spark, name, path, args.format)
+            for name, path in (("feed_actions", args.feed), ("message_actions", args.messages))
+        ]
+        corrected_activity(*streams, args.out, args.checkpoint, processing_time=args.every).awaitTermination()
+        return
+
     feed = read("feed_actions", args.feed)
     results: dict[str, DataFrame] = {}
     if args.job == "daily-rollup":
         if args.backfill:
             jobs.backfill_dims(feed, args.as_of - days(1), args.dims)
         messages = read("message_actions", args.messages)
-        jobs.daily_rollup(feed, messages, args.as_of, path=args.out, dims_path=args.dims)
+        place = "versioned_path" if args.versioned else "path"
+        jobs.daily_rollup(feed, messages, args.as_of, dims_path=args.dims, **{place: args.out})
     elif args.job == "alerts":
         msg = read("message_actions", args.messages) if args.messages else None
         results = jobs.check_alerts(feed, args.as_of, args.a, args.n, msg)
@@ -100,7 +118,10 @@ def main() -> None:
     elif args.job == "service-report":
         results = jobs.service_report(feed, read("message_actions", args.messages), args.as_of)
     elif args.job == "weekly":
-        results = jobs.weekly_report(feed, args.as_of)
+        if args.state:
+            results = jobs.weekly_report_kept(feed, args.as_of, args.state, args.since)
+        else:
+            results = jobs.weekly_report(feed, args.as_of)
     elif args.job == "dashboards":
         results = jobs.dashboard_tables(feed, read("message_actions", args.messages), args.as_of)
     elif args.job == "campaign":

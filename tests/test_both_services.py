@@ -108,6 +108,24 @@ def test_shuffled_arrival(spark, arrivals, recent, tmp_path):
     assert again == made.where("late").count()
 
 
+def test_late_events_change_alerts(spark, make_feed, make_messages, tmp_path):
+    """A bucket with few events is anomalous until the rest of them has come."""
+    at = lambda m: f"2024-01-29 {10 + m // 60}:{m % 60:02d}"
+    usual = [(u, "view", at(15 * b)) for b in range(20) for u in range(10 + b % 3)]
+    missing = [x for x in usual if x[2] == at(15 * 12) and x[0] > 1]
+    feed = make_feed(*[x for x in usual if x not in missing])
+    msg = make_messages(*[(1, 2, at(15 * b)) for b in range(20)])
+    arrivals = Arrivals(spark, str(tmp_path / "in"), feed, msg)
+    arrivals.add("feed_actions", feed)
+    arrivals.add("message_actions", msg)
+    path = correct(arrivals, tmp_path)
+    alerts_now = lambda: {(r.metric, r.minutes) for r in both_services.corrected_alerts(spark, path).collect()}
+    assert ("dau", "13:00") in alerts_now() and ("views", "13:00") in alerts_now()
+    arrivals.add("feed_actions", make_feed(*missing))
+    correct(arrivals, tmp_path)
+    assert not {x for x in alerts_now() if x[1] == "13:00"}
+
+
 def test_a_batch_that_runs_again_changes_nothing(spark, arrivals, recent, tmp_path):
     """The second batch fails after it has written everything, and is repeated."""
     feed, msg = recent

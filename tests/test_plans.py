@@ -16,6 +16,7 @@ RUN_STREAMS = {
     "activity_15min_stream",
     "activity_15min_full_stream",
     "activity_15min_corrected",
+    "anomaly_alerts_corrected",
     "anomaly_alerts_stream",
     "daily_rollup_write",
 }
