@@ -45,8 +45,8 @@ def daily_rollup(
 ) -> DataFrame:
     """Compute the roll-up of the day before ``as_of`` once, store it by path and/or table, hand it back.
 
-    Under ``versioned_path`` the day is replaced at once (``daily_rollup_read`` reads it); a plain path
-    or table lacks the day for a moment.
+    Under ``versioned_path`` (``daily_rollup_read`` reads it) and in a table the day is replaced at once; a
+    plain path lacks it for a moment.
 
     Users' dimensions come from the feed history up to that day. With ``dims_path``
     they are kept there, as they were before each day: yesterday's copy and the one

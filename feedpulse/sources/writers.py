@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -91,12 +92,27 @@ def daily_rollup_read(
 
 
 def daily_rollup_save(rollup: DataFrame, table: str, event_date: date | None = None) -> None:
-    """Put the roll-up into a catalog table, replacing ``event_date`` or else the days it contains."""
+    """Put the roll-up into a catalog table, replacing ``event_date`` or else the days it contains.
+
+    A day's rows are written to a folder of their own beside the table; then the catalog is told that
+    the day is there, in one step. A run that stops before leaves the day as it was. Replaced folders
+    stay for those who are reading them.
+    """
     spark = rollup.sparkSession
     daily_rollup_create(spark, table)
-    if event_date is not None:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = DATE '{event_date}')")
-    # insertInto goes by position, and a partitioned table keeps its partition column last.
-    names = [name for name in DAILY_ROLLUP.fieldNames() if name != "event_date"]
-    writer = rollup.select(*names, F.col("event_date")).write
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    rows = rollup.select(*DAILY_ROLLUP.fieldNames())
+    wanted = [event_date] if event_date is not None else [r[0] for r in rows.select("event_date").distinct().collect()]
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    for day in wanted:
+        folder = f"{place.rstrip('/')}-days/{day}-{uuid.uuid4().hex}"
+        rows.where(F.col("event_date") == F.lit(day)).drop("event_date").write.parquet(folder)
+        _point_to(spark, table, day, folder)
+
+
+def _point_to(spark: SparkSession, table: str, day: date, folder: str) -> None:
+    partition = f"PARTITION (event_date = DATE '{day}')"
+    if spark.sql(f"SHOW PARTITIONS {table} {partition}").isEmpty():
+        spark.sql(f"ALTER TABLE {table} ADD {partition} LOCATION '{folder}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} {partition} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)

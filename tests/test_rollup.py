@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from feedpulse.operators import rollup
 from feedpulse.plans import jobs
 from feedpulse.sources.schema import DAILY_ROLLUP, ROLLUP_METRICS
+from feedpulse.sources import writers
 from feedpulse.sources.writers import daily_rollup_save, daily_rollup_write
 
 AS_OF = date(2024, 1, 31)
@@ -112,6 +113,27 @@ def test_catalog_table_is_created_and_replaced_by_day(spark, make_feed, make_mes
     assert rows(spark.table("daily_rollup"), *columns) == rows(final, *columns)
 
 
+def test_a_stop_leaves_the_catalog_tables_day(spark, make_feed, make_messages, monkeypatch):
+    columns = DAILY_ROLLUP.fieldNames()
+    feed, msg = make_feed((1, "like", DAY)), make_messages((1, 2, DAY))
+    old = rollup.daily_rollup_final(feed, msg, AS_OF)
+    daily_rollup_save(old, "stopped_rollup")
+    more = rollup.daily_rollup_final(feed.unionByName(make_feed((3, "view", DAY))), msg, AS_OF)
+
+    def stop(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "_point_to", stop)
+        with pytest.raises(KeyboardInterrupt):
+            daily_rollup_save(more, "stopped_rollup")
+    assert rows(spark.table("stopped_rollup"), *columns) == rows(old, *columns)
+    daily_rollup_save(more, "stopped_rollup")
+    assert rows(spark.table("stopped_rollup"), *columns) == rows(more, *columns) != rows(old, *columns)
+    day = spark.table("stopped_rollup").where("event_date = DATE '2024-01-30'")
+    assert day.count() == more.count()
+
+
 def test_empty_rerun_leaves_nothing(spark, tmp_path, make_feed, make_messages):
     path, names = str(tmp_path / "rollup"), DAILY_ROLLUP.fieldNames()
     feed, msg = make_feed((1, "like", DAY)), make_messages((1, 2, DAY))
