@@ -400,7 +400,10 @@ def _from_texts(docs: DataFrame, ranks_path: str, text: str, new: str, make) ->
 
 
 def encode(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``, ``ids`` and ``token_starts``, the byte of the text each id starts at."""
+    """``docs`` with ``n_tokens``, ``ids`` and ``token_starts``, the byte of the text each id starts at.
+
+    Null and empty texts have no ids. Repeated rows come back row by row, an empty table empty.
+    """
     return _from_texts(
         docs,
         ranks_path,
@@ -413,7 +416,8 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
 def digests(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` and the SHA-256 of the ids and of the bytes they decode to.
 
-    In one pass, so that the ids need not leave the worker.
+    In one pass, so that the ids need not leave the worker. Null texts count as empty, repeated rows come
+    back row by row, an empty table empty.
     """
 
     def make(tool: Merger, ids: np.ndarray, counts: np.ndarray, _: np.ndarray) -> list[pa.Array]:

@@ -419,7 +419,7 @@ def with_surrogates(
 
     Null texts stay null and empty ones empty. Texts without entities come back
     as they were. Repeated rows get the same text. Other columns are kept; one
-    with the name of ``counted`` gives way.
+    with the name of ``counted`` gives way. An empty table gives an empty result.
     """
     known = entities(docs, text).groupBy("kind", "entity").agg(F.count("*").alias("n"))
     known = stored(one_kind_each(known), "entities")

@@ -25,7 +25,7 @@ from feedpulse.llm import (
 )
 from feedpulse.llm.arrow import documents, embeddings
 from feedpulse.llm.ship import shipping
-from feedpulse.llm.stages import DEMONSTRATION_KEY, MAX_REPEATS
+from feedpulse.llm.stages import MAX_REPEATS, surrogate_key
 
 SHARD_BYTES = 1 << 20
 
@@ -84,7 +84,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @shipping
 def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
-    return pii.with_surrogates(docs, DEMONSTRATION_KEY)
+    return pii.with_surrogates(docs, surrogate_key(spark))
 
 
 @shipping

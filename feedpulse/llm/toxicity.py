@@ -459,7 +459,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
     Repeated rows get the same score, other columns are left out, an empty table
-    gives an empty result. Of several labels of an id, toxic counts.
+    gives an empty result. Texts count whole, however long; a worker holds one and its
+    words. Of several labels of an id, toxic counts.
     """
     rows = scored(docs.select("doc_id", "text"), learn(docs, labels, sample))
     return rows.select(
@@ -471,7 +472,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with their columns as they were."""
+    """The rows of ``docs`` that score below 0.5, with their columns as they were.
+
+    Null and empty texts score alike, repeated rows stay or go together, an empty table stays empty.
+    """
     name = clear_of(docs, "score")
     return scored(docs, learn(docs, labels, sample), name=name).where(f"`{name}` < 0.5").select(
         *[f"`{c}`" for c in docs.columns]

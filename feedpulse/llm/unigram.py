@@ -29,7 +29,12 @@ KEPT_WORDS = 300_000
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float]]:
-    """The ordinary pieces of a SentencePiece model file, with the scores in the file."""
+    """The ordinary pieces of a SentencePiece model file, with the scores in the file.
+
+    A unigram model's scores are log probabilities. A BPE model's, as ``op8`` reads them for want of
+    another file, are its merges' ranks below zero: best is then the segmentation whose ranks sum up
+    highest, which prefers few and early merged pieces and is no tokenizer's own count.
+    """
     import sentencepiece  # noqa: PLC0415
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -122,8 +127,8 @@ def token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]], text: str
     """``docs`` with ``n_tokens`` and ``best_score`` of every whole text.
 
     A space mark goes before the text and replaces its spaces; nothing else is
-    normalised. Null and empty texts have no tokens and score 0. Columns that
-    clash with the new ones give way to them. The vocabulary, of bounded size,
+    normalised. Null and empty texts have no tokens and score 0. Repeated rows come back row by
+    row, an empty table empty. Columns that clash with the new ones give way to them. The vocabulary, of bounded size,
     goes to the executors as a broadcast.
     """
     sent = docs.sparkSession.sparkContext.broadcast(tuple(vocabulary))

@@ -106,3 +106,12 @@ def test_simhash_query_like_brute_force(spark):
     assert [r["fingerprint"] for r in rows] == [f"{v:016x}" for v in values]
     assert [r["component_id"] for r in rows] == groups(values, [r["doc_id"] for r in docs])
     assert simhash.CELL
+
+
+def test_surrogate_key_of_the_session(spark):
+    assert stages.surrogate_key(spark) == stages.DEMONSTRATION_KEY
+    spark.conf.set(stages.KEY_SETTING, "own secret")
+    try:
+        assert stages.surrogate_key(spark) == b"own secret"
+    finally:
+        spark.conf.unset(stages.KEY_SETTING)
