@@ -42,6 +42,7 @@ from oracle.sample import (  # noqa: E402
 from feedpulse.sources.scratch import scratch_path  # noqa: E402
 from feedpulse.sources.writers import daily_rollup_commit, daily_rollup_read, daily_rollup_write  # noqa: E402
 from feedpulse.streaming import activity, both_services  # noqa: E402
+from feedpulse.streaming import bands as state_bands  # noqa: E402
 from oracle.queries import statements  # noqa: E402
 
 try:  # the operators for training data can be left out
@@ -223,6 +224,13 @@ def streamed_full_activity(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{base}/series"))
 
 
+def alerts_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    events, base = sample.stream_events(spark, folder), scratch_path(spark, "alerts-state")
+    feed, msg = sample.feed_from_events(events), sample.messages_from_events(events)
+    state_bands.alerts_to_table(feed, msg, f"{base}/alerts", f"{base}/checkpoint").awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/alerts"))
+
+
 def corrected_run(spark: SparkSession, folder: str) -> str:
     """The events arrive in no order at all, in eight files and four steps."""
     base, events = scratch_path(spark, "corrected"), sample.read_events(spark, folder)
@@ -298,6 +306,7 @@ def product_queries() -> dict[str, Query]:
         "activity_15min_corrected": lambda spark, folder: rounded(
             both_services.corrected_series(spark, corrected_run(spark, folder))
         ),
+        "anomaly_alerts_state": alerts_from_state,
         "anomaly_alerts_corrected": lambda spark, folder: rounded(
             both_services.corrected_alerts(spark, corrected_run(spark, folder))
         ),

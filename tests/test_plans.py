@@ -17,6 +17,7 @@ RUN_STREAMS = {
     "activity_15min_full_stream",
     "activity_15min_corrected",
     "anomaly_alerts_corrected",
+    "anomaly_alerts_state",
     "anomaly_alerts_stream",
     "daily_rollup_write",
 }
