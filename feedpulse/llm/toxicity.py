@@ -184,7 +184,7 @@ class Matcher:
         return out
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def matcher(words: tuple[str, ...], stems: tuple[str, ...]) -> Matcher:
     return Matcher(list(words), list(stems))
 
@@ -210,9 +210,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         .limit(sample)
     )
     texts = docs.select("doc_id", as_bytes("text").alias("raw"))
+    # Texts are shuffled only for ids that have several.
+    rows = docs.select("doc_id").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+    ids = stored(rows.agg(F.count("*").alias("rows")), "labelled-ids")
+    own = lambda which: texts.join(F.broadcast(ids.where(which).select("doc_id", "toxic")), "doc_id")
     first = F.min_by("raw", F.struct(F.xxhash64("raw"), F.col("raw"))).alias("raw")
-    own = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(first, F.max("toxic").alias("toxic"))
-    return stored(own.select("raw", "toxic"), "labelled")
+    several = own("rows > 1").groupBy("doc_id", "toxic").agg(first).select("raw", "toxic")
+    return stored(own("rows = 1").select("raw", "toxic").unionByName(several), "labelled")
 
 
 def _terms(words: list[str]) -> Iterator[str]:
