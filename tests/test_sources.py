@@ -1,12 +1,12 @@
 import subprocess
 import sys
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from feedpulse.functions.dates import on_any_day, on_days
+from feedpulse.functions.dates import SPANS, on_any_day, on_days, spans
 from feedpulse.operators import rollup
 from feedpulse.sources import readers
 from feedpulse.sources.schema import FEED_ACTIONS, MESSAGE_ACTIONS, conform
@@ -86,3 +86,26 @@ def test_a_time_of_text_is_refused(spark, make_feed, tmp_path):
     make_feed((1, "view", "2024-01-30")).withColumn("time", F.col("time").cast("string")).write.parquet(path)
     with pytest.raises(ValueError, match="time must be a timestamp"):
         readers.read_actions(spark, "feed_actions", path)
+
+
+def test_the_condition_on_many_days_stays_short(spark):
+    """However many days are wanted, the plan compares the time with few bounds."""
+    wanted = [date(2023, 1, 1) + timedelta(days=3 * n + n // 7) for n in range(200)]
+    first = "CAST(TIMESTAMP '2023-01-01 23:59:59.999' + make_dt_interval(CAST(id DIV 2 AS INT), 0, 0, id % 2 * 0.001) AS {})"
+    for kind in ("TIMESTAMP", "TIMESTAMP_NTZ"):
+        rows = spark.range(1400).selectExpr("id", f"IF(id < 1390, {first.format(kind)}, NULL) AS time").cache()
+        got = on_any_day(rows, *wanted)
+        want = rows.where(F.to_date("time").cast("string").isin([d.isoformat() for d in wanted]))
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()) and want.count() > 300
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(">=") <= SPANS and plan.count("<") <= 2 * SPANS
+    assert on_any_day(rows).count() == 0
+
+
+def test_spans():
+    on = lambda *numbers: [date(2024, 1, n) for n in numbers]
+    pairs = lambda *numbers: list(zip(*[iter(on(*numbers))] * 2))
+    assert spans([]) == [] and spans(on(5, 5)) == pairs(5, 5)
+    assert spans(on(4, 1, 2, 9, 3)) == pairs(1, 4, 9, 9)
+    assert spans(on(1, 3, 6, 10, 11), 2) == pairs(1, 6, 10, 11)
+    assert spans(on(1, 3, 6, 10), 1) == pairs(1, 10)
