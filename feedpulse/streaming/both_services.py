@@ -206,7 +206,9 @@ def _revise(spark: SparkSession, path: str, batch_id: int, before: datetime | No
         rows = rows.unionByName(more)
     by_user = rows.groupBy("bucket", "user_id").agg(*[total(n) for n in USER_SUMS], F.max("late").alias("late"))
     by_bucket = by_user.groupBy("bucket").agg(*full_metrics(), F.max("late").alias("late"))
-    _store(by_bucket.select("bucket", *SUMS, "late").coalesce(1), f"{path}/series", batch_id)
+    # A shuffle of the few rows by bucket, a file for each day: the sums are made by all tasks, before it.
+    by_day = by_bucket.select("bucket", *SUMS, "late").repartition(F.to_date("bucket"))
+    _store(by_day, f"{path}/series", batch_id)
 
 
 def revisions(spark: SparkSession, path: str) -> DataFrame:

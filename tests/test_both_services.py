@@ -156,6 +156,29 @@ def test_another_runs_results_are_refused(spark, arrivals, recent, tmp_path):
         both_services.corrected_activity(*arrivals.streams(), path, str(tmp_path / "other")).awaitTermination()
 
 
+def test_one_task_does_not_add_up_all_buckets(spark, make_feed, make_messages, tmp_path, monkeypatch):
+    """Reducing the number of tasks without a shuffle would run the sums of all buckets in them."""
+    stored, store = {}, both_services._store
+    monkeypatch.setattr(
+        both_services, "_store", lambda rows, path, batch_id: (stored.update({(path, batch_id): rows}), store(rows, path, batch_id))
+    )
+    days = [f"2024-01-{d} {h}:20" for d in (10, 11, 29) for h in range(10, 20)]
+    feed = make_feed(*[(u, "like", at) for at in days for u in range(3)])
+    msg = make_messages(*[(1, 2, at) for at in days])
+    arrivals = Arrivals(spark, str(tmp_path / "in"), feed, msg)
+    for odd in (0, 1):
+        arrivals.add("feed_actions", feed.where(F.hour("time") % 2 == odd))
+        arrivals.add("message_actions", msg.where(F.hour("time") % 2 == odd))
+        path = correct(arrivals, tmp_path)
+    assert rows(corrected_series(spark, path)) == rows(until(alerts.full_series(feed, msg), datetime(2024, 1, 29, 18, 45)))
+    series = {n: df for (where, n), df in stored.items() if where == f"{path}/series"}
+    assert len(series) >= 2
+    for df in series.values():
+        assert "Coalesce" not in df._jdf.queryExecution().sparkPlan().toString()
+    folders = [f for f in (tmp_path / "out" / "series").glob("day=*/batch_id=*")]
+    assert len(folders) >= 4 and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
+
+
 def test_closing_time():
     at = lambda h, m=0: datetime(2024, 1, 1, h, m)
     half, idle = timedelta(minutes=30), timedelta(hours=6)
