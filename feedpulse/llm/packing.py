@@ -36,7 +36,7 @@ from feedpulse.sources.scratch import stored
 CAPACITY, END_ID = 1024, 2
 #: Fixed value: the public pattern by which byte-level tokenizers cut a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT, LONGEST_KEPT = 300_000, 64
+KEPT, LONGEST_KEPT = 400_000, 64
 SAFE = re.compile(r"(?<=\S)(?= \S)").split
 #: The linear program: phases at most, the cover a phase adds at most, how prices fall with it, and
 #: the fillings that count as dear; shares of its usage that are tried in rounding.
@@ -87,6 +87,7 @@ class Encoder:
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in seen]
         self.table = {b: b for b in seen} | {b: 256 + n for n, b in enumerate(rest)}
+        self.space = chr(self.table[ord(" ")])
         self.word = Kept(self.merged)
         self.first, self.later = Kept(self.chunk), Kept(lambda text: self.chunk(text, " "))
         # The tokenizer takes these strings out before it looks for words.
@@ -98,15 +99,22 @@ class Encoder:
 
     def merged(self, word: str) -> bytes:
         """The ids of one match of the pattern."""
-        tokens = self.merge(word.encode().decode("latin-1").translate(self.table))
+        if word.isascii() and word.isprintable():
+            shown = word.replace(" ", self.space)
+        else:
+            shown = word.encode().decode("latin-1").translate(self.table)
+        tokens = self.merge(shown)
         return array("I", [t.id for t in tokens]).tobytes()
 
     def chunk(self, text: str, lead: str = "") -> bytes:
         """The ids of what stands between two spaces or line feeds, after ``lead``."""
+        low = text.isascii() or max(text) < "\u0500"  # Latin, Greek and Cyrillic
+        if low and text.isalpha():  # one word, kept where the chunk is
+            return self.merged(lead + text)
         if not text or text[0].isspace() or text[-1].isspace():
             raise Odd
-        if text.isalpha() and (text.isascii() or max(text) < "\u0500"):  # Latin, Greek and Cyrillic words
-            return self.word[lead + text]
+        if low and text[:-1].isalpha():  # a word and a mark
+            return (self.later if lead else self.first)[text[:-1]] + self.word[text[-1]]
         return b"".join(map(self.word.__getitem__, self.words(lead + text)))
 
     def ids(self, text: str) -> bytes:

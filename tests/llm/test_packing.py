@@ -39,6 +39,18 @@ def test_caches_forget(monkeypatch):
     assert len(small.word) <= 5 and len(small.later.older) <= 5
 
 
+def test_a_word_is_merged_and_kept_once():
+    """Alone or before a mark; what is kept twice is forgotten sooner."""
+    small, seen = packing.Encoder(PATH), []
+    merge = small.merge
+    small.merge = lambda word: (seen.append(word), merge(word))[1]
+    text = "alpha beta alpha, beta. été été! alpha; beta été\nalpha? alpha beta, a\u0301 x\u0301,"
+    assert small.ids(text) == small.whole(text)
+    assert len(seen) == len(set(seen)) and seen.count("Ġalpha") == seen.count("Ġbeta") == 1
+    assert not {" alpha", " beta", "alpha", " été"} & set(small.word)
+    assert {"alpha", "beta", "été"} <= set(small.later) and "alpha" in small.first
+
+
 @pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 20, 25])
 def test_cuts(n):
     got = packing.cuts(n, 10)
